@@ -190,16 +190,13 @@ def positions(df: DataFrame, name: str, order: Sequence[str], keys: Sequence[str
 
     One pass over the key column finds groups above ``spark.trajspark.hotGroupRows`` rows (there can be at most
     total / threshold of them). Without any, a plain window does the work. A hot group is cut at approximate quantiles of
-    its leading order column; the cut points only steer balance, the counts per piece make the positions exact.
+    its leading order column; the cut points only steer balance, the counts per piece make the positions exact. Rows of
+    one hot group that share one leading value stay together, so the leading column should be the most varied one.
     """
     hot_rows = _conf(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
     key_cols = [c(k) for k in keys]
     order_cols = [c(o) for o in order]
-    lead = df.schema[order[0]].dataType
-    splittable = isinstance(lead, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType))
-    hot = []
-    if splittable:
-        hot = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).collect()
+    hot = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).collect()
     if not hot:
         window = Window.partitionBy(*key_cols).orderBy(*order_cols)
         return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
@@ -228,13 +225,23 @@ def _cut_points(df: DataFrame, keys: Sequence[str], lead: Column, hot: list, hot
     fields = [df.schema[k] for k in keys]
     hot_keys = spark.createDataFrame([tuple(r) for r in hot], T.StructType([*fields, T.StructField("_n", T.LongType())]))
     marked = df.join(hot_keys.drop("_n"), list(keys), "left_semi") if keys else df
-    fractions = [i / SPLITS for i in range(1, SPLITS)]
-    grid = marked.groupBy(*[c(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("_n"), F.percentile_approx(lead, fractions, 20 * SPLITS).alias("_grid")
-    )
+    by_key = [c(k) for k in keys]
+    numeric = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)
+    if isinstance(marked.select(lead).schema[0].dataType, numeric):
+        fractions = [i / SPLITS for i in range(1, SPLITS)]
+        values = F.percentile_approx(lead, fractions, 20 * SPLITS)
+        grid = marked.groupBy(*by_key).agg(F.count(F.lit(1)).alias("_n"), values.alias("_grid"))
+    else:
+        # Strings: the grid comes from about 16 * SPLITS rows per hot group, picked by hash.
+        sized = marked.join(hot_keys, list(keys)) if keys else marked.withColumn("_n", F.lit(hot[0]["_n"]))
+        every = F.greatest(F.lit(1).cast("long"), F.floor(F.col("_n") / (16 * SPLITS)))
+        drawn = sized.filter(F.pmod(F.xxhash64(lead), every) == 0)
+        drawn = drawn.withColumn("_t", F.ntile(SPLITS).over(Window.partitionBy(*by_key).orderBy(lead)))
+        ends = drawn.groupBy(*by_key, "_n", "_t").agg(F.max(lead).alias("_v")).filter(F.col("_t") < SPLITS)
+        grid = ends.groupBy(*by_key, "_n").agg(F.sort_array(F.collect_list("_v")).alias("_grid"))
     wanted = F.least(F.lit(SPLITS), F.ceil(F.col("_n") / hot_rows)).cast("int")
     at = F.transform(F.sequence(F.lit(1), F.greatest(wanted - 1, F.lit(1))), lambda i: F.floor(i * SPLITS / wanted).cast("int"))
-    chosen = F.transform(at, lambda i: F.element_at("_grid", F.least(i, F.lit(SPLITS - 1))))
+    chosen = F.transform(at, lambda i: F.element_at("_grid", F.least(i, F.size("_grid"))))
     kept = grid.select(*[c(k) for k in keys], F.array_distinct(chosen).alias("_cuts"))
     schema = T.StructType([*fields, T.StructField("_cuts", T.ArrayType(kept.schema["_cuts"].dataType.elementType))])
     return spark.createDataFrame([tuple(r) for r in kept.collect()], schema)

@@ -79,32 +79,44 @@ def bin_of(x: Column, low: Column, high: Column, bins: int = BINS) -> Column:
 
 
 def quantiles_from_bins(
-    counts: DataFrame, ranges: DataFrame, keys: Sequence[str], quantiles: Sequence[float] = QUANTILES, bins: int = BINS
+    counts: DataFrame, keys: Sequence[str], quantiles: Sequence[float] = QUANTILES, bins: int = BINS
 ) -> DataFrame:
-    """Quantiles from ``(keys, bin, n)`` and the range per key: at most ``bins`` rows per key reach the window.
+    """Quantiles from ``(keys, bin, n, lo, hi)``: at most ``bins`` rows per key reach the window.
 
     The quantile lies in the first bin whose running count reaches ``q * total``; it is the lower end of the range in
-    bin 0 and interpolated inside the bin otherwise.
+    bin 0 and interpolated inside the bin otherwise. Bin number and running counts grow together, so each can be taken
+    with its own ``min``, which keeps the aggregate on plain numbers.
     """
     key_cols = [c(k) for k in keys]
     over = Window.partitionBy(*key_cols).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*key_cols)
-    running_count = counts.withColumns({"_cum": F.sum("n").over(over), "_all": F.sum("n").over(whole)})
-    hit = {
-        q: F.min(F.when(F.col("_cum") >= F.lit(q) * F.col("_all"), F.struct("bin", "_cum", "n"))).alias(f"_h{i}")
-        for i, q in enumerate(quantiles)
-    }
-    first = running_count.groupBy(*key_cols).agg(F.first("_all").alias("_all"), *hit.values())
-    joined = first.join(ranges.select(*key_cols, F.col("min").alias("_min"), F.col("max").alias("_max")), list(keys))
-    lo, hi = F.col("_min") - EDGE, F.col("_max") + EDGE
+    summed = counts.withColumns({"_cum": F.sum("n").over(over), "_all": F.sum("n").over(whole)})
+    hits = []
+    for i, q in enumerate(quantiles):
+        reached = F.col("_cum") >= F.lit(q) * F.col("_all")
+        hits += [
+            F.min(F.when(reached, F.col("bin"))).alias(f"_bin{i}"),
+            F.min(F.when(reached, F.col("_cum"))).alias(f"_cum{i}"),
+            F.min(F.when(reached, F.col("_cum") - F.col("n"))).alias(f"_before{i}"),
+        ]
+    first = summed.groupBy(*key_cols).agg(F.min("_all").alias("_all"), F.min("lo").alias("_lo"), F.max("hi").alias("_hi"), *hits)
+    lo, hi = F.col("_lo") - EDGE, F.col("_hi") + EDGE
     width = (hi - lo) / bins
     out = []
     for i, q in enumerate(quantiles):
-        h = F.col(f"_h{i}")
-        share = (F.lit(q) * F.col("_all") - (h["_cum"] - h["n"])) / h["n"]
-        inside = lo + h["bin"] * width + share * width
-        out.append(F.when(h["bin"] == 0, lo).otherwise(inside).alias(quantile_key(q)))
-    return joined.select(*key_cols, *out)
+        at, cum, before = F.col(f"_bin{i}"), F.col(f"_cum{i}"), F.col(f"_before{i}")
+        share = (F.lit(q) * F.col("_all") - before) / (cum - before)
+        out.append(F.when(at == 0, lo).otherwise(lo + at * width + share * width).alias(quantile_key(q)))
+    return first.select(*key_cols, *out)
+
+
+def _bin_counts(values: DataFrame, keys: Sequence[str], n: Column | None = None) -> DataFrame:
+    """Bin counts of ``(keys, value, lo, hi)`` rows, each counting ``n`` times."""
+    binned = values.select(*[c(k) for k in keys], "lo", "hi", bin_of(F.col("value"), F.col("lo"), F.col("hi")).alias("bin"),
+                           (F.lit(1).cast("long") if n is None else n).alias("n"))
+    return binned.filter(F.col("bin").isNotNull()).groupBy(*[c(k) for k in keys], "bin").agg(
+        F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    )
 
 
 def _moments(values: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -150,10 +162,9 @@ def episode_stats(
             F.array_sort(F.collect_list(F.struct("slot", "min", "max"))).alias("_r"), F.max("count").alias("_length")
         )
         sized = join_episodes(flat, ranges, length="_length")
-        binned = F.zip_with("_x", "_r", lambda x, r: bin_of(x, r["min"], r["max"]))
-        counts = sized.select(EPISODE, F.posexplode(binned).alias("slot", "bin")).filter(F.col("bin").isNotNull())
-        counts = counts.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
-        found = quantiles_from_bins(counts, moments, keys, quantiles)
+        with_range = F.zip_with("_x", "_r", lambda x, r: F.struct(x.alias("value"), r["min"].alias("lo"), r["max"].alias("hi")))
+        rows = sized.select(EPISODE, F.posexplode(with_range).alias("slot", "_v")).select(*keys, "_v.*")
+        found = quantiles_from_bins(_bin_counts(rows, keys), keys, quantiles)
     stats = _small_groups(moments.join(found, keys), quantiles)
     return name_slots(stats, slots).select(
         EPISODE, "feature", "dim", *STATS, *[quantile_key(q) for q in quantiles]
@@ -171,11 +182,9 @@ def dataset_quantiles(
         first = {n: slots.index((n, 0)) for n, _ in slots}
         values = values.withColumn("slot", F.element_at(F.array(*[F.lit(first[n]) for n, _ in slots]), F.col("slot") + 1))
     moments = _moments(values, ["slot"])
-    ranges = moments.select("slot", F.col("min").alias("_lo"), F.col("max").alias("_hi"))
+    ranges = moments.select("slot", F.col("min").alias("lo"), F.col("max").alias("hi"))
     sized = dictionary_join(values, ranges, "slot", [EPISODE, FRAME], "inner")
-    counts = sized.select("slot", bin_of(F.col("value"), F.col("_lo"), F.col("_hi")).alias("bin"))
-    counts = counts.groupBy("slot", "bin").agg(F.count(F.lit(1)).alias("n"))
-    found = quantiles_from_bins(counts, moments, ["slot"], quantiles)
+    found = quantiles_from_bins(_bin_counts(sized, ["slot"]), ["slot"], quantiles)
     stats = _small_groups(moments.join(found, "slot"), quantiles)
     return name_slots(stats, slots).select("feature", "dim", *STATS, *[quantile_key(q) for q in quantiles])
 
@@ -183,13 +192,10 @@ def dataset_quantiles(
 def row_stats(rows: DataFrame, vector: str, key: str, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
     """Statistics across the entries of each row's vector (axis 1). The range comes from the row, so nothing is joined."""
     x = F.transform(c(vector), lambda v: v.cast("double"))
-    wide = rows.select(c(key), x.alias("_x")).withColumns({"min": F.array_min("_x"), "max": F.array_max("_x")})
-    counts = wide.select(c(key), "min", "max", F.explode("_x").alias("value"))
-    counts = counts.groupBy(c(key), bin_of(F.col("value"), F.col("min"), F.col("max")).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    moments = _moments(wide.select(c(key), F.explode("_x").alias("value")), [key])
-    found = quantiles_from_bins(counts, moments, [key], quantiles)
+    wide = rows.select(c(key), x.alias("_x")).withColumns({"lo": F.array_min("_x"), "hi": F.array_max("_x")})
+    values = wide.select(c(key), "lo", "hi", F.explode("_x").alias("value"))
+    moments = _moments(values, [key])
+    found = quantiles_from_bins(_bin_counts(values, [key]), [key], quantiles)
     return _small_groups(moments.join(found, key), quantiles)
 
 
@@ -284,9 +290,8 @@ def image_stats(images: DataFrame, pixels: str, channels: int, height: int, widt
         F.sum(n).alias("_pixels"),
         F.sum(n * v * v).alias("_sq"),
     )
-    ranged = values.join(moments.select(*[c(k) for k in group], "min", "max"), group)
-    counts = ranged.groupBy(*[c(k) for k in group], bin_of(v, F.col("min"), F.col("max")).alias("bin")).agg(F.sum("n").alias("n"))
-    found = quantiles_from_bins(counts, moments, group)
+    ranged = values.join(moments.select(*[c(k) for k in group], F.col("min").alias("lo"), F.col("max").alias("hi")), group)
+    found = quantiles_from_bins(_bin_counts(ranged, group, n), group)
     out = moments.join(found, group)
     std = F.sqrt(F.greatest(F.lit(0.0), F.col("_sq") / F.col("_pixels") - F.col("mean") * F.col("mean")))
     return out.select(
