@@ -82,14 +82,18 @@ def running(
     keys: Sequence[str] = (EPISODE,),
     order: str = FRAME,
     inclusive: bool = True,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Unbounded scans along ``order`` inside ``keys``, in two levels.
 
     Kinds: ``sum``, ``min``, ``max``, ``last`` (latest non-null value so far) and ``next`` (nearest non-null value at or
-    after the row). With ``inclusive=False`` the row itself is left out.
+    after the row). With ``inclusive=False`` the row itself is left out. A caller that knows the table has ``at_most`` so
+    few rows that they fit one block gets a plain window.
     """
     size = block_rows(df)
     key_cols = [c(k) for k in keys]
+    if at_most is not None and at_most <= size:
+        return df.withColumns({n: _scan(kind, e, key_cols, order, inclusive) for n, (kind, e) in columns.items()})
     base = df.withColumn("_block", block_of(c(order), size))
     values = {f"_v_{n}": e for n, (_, e) in columns.items()}
     base = base.withColumns(values)
@@ -142,6 +146,14 @@ def running(
     return joined.withColumns(results).drop(*scratch)
 
 
+def _scan(kind: str, value: Column, keys: Sequence[Column], order: str, inclusive: bool) -> Column:
+    by = c(order).desc() if kind == "next" else c(order)
+    rows = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    if kind in ("last", "next"):
+        return F.last(value, ignorenulls=True).over(rows)
+    return getattr(F, kind)(value).over(rows)
+
+
 def _any_not_null(names: Sequence[str]) -> Column:
     found = c(names[0]).isNotNull()
     for name in names[1:]:
@@ -185,18 +197,23 @@ def dictionary_join(
     return rows.withColumn("_salt", salt).join(salted, [*keys, "_salt"], how).drop("_salt")
 
 
-def positions(df: DataFrame, name: str, order: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def positions(
+    df: DataFrame, name: str, order: Sequence[str], keys: Sequence[str] = (), at_most: int | None = None
+) -> DataFrame:
     """Add the dense 0-based position of each row in its group, in the given order.
 
     One pass over the key column finds groups above ``spark.trajspark.hotGroupRows`` rows (there can be at most
     total / threshold of them). Without any, a plain window does the work. A hot group is cut at approximate quantiles of
     its leading order column; the cut points only steer balance, the counts per piece make the positions exact. Rows of
-    one hot group that share one leading value stay together, so the leading column should be the most varied one.
+    one hot group that share one leading value stay together, so the leading column should be the most varied one. A
+    caller that knows the table has ``at_most`` rows below the threshold saves the pass.
     """
     hot_rows = _conf(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
     key_cols = [c(k) for k in keys]
     order_cols = [c(o) for o in order]
-    hot = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).collect()
+    hot = []
+    if at_most is None or at_most > hot_rows:
+        hot = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).collect()
     if not hot:
         window = Window.partitionBy(*key_cols).orderBy(*order_cols)
         return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))

@@ -14,6 +14,7 @@ from trajspark.operators.layout import EPISODE, FRAME, dictionary_join, join_epi
 QUANTILES = (0.01, 0.10, 0.50, 0.90, 0.99)
 BINS = 5000
 EDGE = 1e-10
+WIDE_SLOTS = 32  # up to this many numbers per frame, ranges are aggregated without exploding
 STATS = ("min", "max", "mean", "std", "count")
 
 
@@ -78,14 +79,15 @@ def bin_of(x: Column, low: Column, high: Column, bins: int = BINS) -> Column:
     return F.when(hi == lo, F.lit(0)).otherwise(F.greatest(F.lit(0), F.least(F.lit(bins - 1), at))).cast("int")
 
 
-def quantiles_from_bins(
+def stats_from_bins(
     counts: DataFrame, keys: Sequence[str], quantiles: Sequence[float] = QUANTILES, bins: int = BINS
 ) -> DataFrame:
-    """Quantiles from ``(keys, bin, n, lo, hi)``: at most ``bins`` rows per key reach the window.
+    """All statistics from ``(keys, bin, n, s1, s2, lo, hi)``: at most ``bins`` rows per key reach the window.
 
-    The quantile lies in the first bin whose running count reaches ``q * total``; it is the lower end of the range in
-    bin 0 and interpolated inside the bin otherwise. Bin number and running counts grow together, so each can be taken
-    with its own ``min``, which keeps the aggregate on plain numbers.
+    ``s1`` and ``s2`` are sums of ``value - lo`` and its square, so a large common offset does not cancel. A quantile lies
+    in the first bin whose running count reaches ``q * total``; it is the lower end of the range in bin 0 and interpolated
+    inside the bin otherwise. Bin number and running counts grow together, so each can be taken with its own ``min``,
+    which keeps the aggregate on plain numbers. Fewer than two values: deviation 0, every quantile the mean (S4).
     """
     key_cols = [c(k) for k in keys]
     over = Window.partitionBy(*key_cols).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
@@ -99,27 +101,45 @@ def quantiles_from_bins(
             F.min(F.when(reached, F.col("_cum"))).alias(f"_cum{i}"),
             F.min(F.when(reached, F.col("_cum") - F.col("n"))).alias(f"_before{i}"),
         ]
-    first = summed.groupBy(*key_cols).agg(F.min("_all").alias("_all"), F.min("lo").alias("_lo"), F.max("hi").alias("_hi"), *hits)
-    lo, hi = F.col("_lo") - EDGE, F.col("_hi") + EDGE
+    first = summed.groupBy(*key_cols).agg(
+        F.min("lo").alias("min"), F.max("hi").alias("max"), F.sum("n").alias("count"), F.sum("s1").alias("_s1"), F.sum("s2").alias("_s2"), *hits
+    )
+    n = F.col("count")
+    shift = F.col("_s1") / n
+    mean, few = F.col("min") + shift, n < 2
+    std = F.sqrt(F.greatest(F.lit(0.0), F.col("_s2") / n - shift * shift))
+    lo, hi = F.col("min") - EDGE, F.col("max") + EDGE
     width = (hi - lo) / bins
     out = []
     for i, q in enumerate(quantiles):
         at, cum, before = F.col(f"_bin{i}"), F.col(f"_cum{i}"), F.col(f"_before{i}")
-        share = (F.lit(q) * F.col("_all") - before) / (cum - before)
-        out.append(F.when(at == 0, lo).otherwise(lo + at * width + share * width).alias(quantile_key(q)))
-    return first.select(*key_cols, *out)
+        share = (F.lit(q) * n - before) / (cum - before)
+        inside = F.when(at == 0, lo).otherwise(lo + at * width + share * width)
+        out.append(F.when(few, mean).otherwise(inside).alias(quantile_key(q)))
+    return first.select(
+        *key_cols, "min", "max", mean.alias("mean"), F.when(few, F.lit(0.0)).otherwise(std).alias("std"), "count", *out
+    )
 
 
-def _bin_counts(values: DataFrame, keys: Sequence[str], n: Column | None = None) -> DataFrame:
-    """Bin counts of ``(keys, value, lo, hi)`` rows, each counting ``n`` times."""
-    binned = values.select(*[c(k) for k in keys], "lo", "hi", bin_of(F.col("value"), F.col("lo"), F.col("hi")).alias("bin"),
-                           (F.lit(1).cast("long") if n is None else n).alias("n"))
-    return binned.filter(F.col("bin").isNotNull()).groupBy(*[c(k) for k in keys], "bin").agg(
-        F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+def bin_counts(values: DataFrame, keys: Sequence[str], n: Column | None = None) -> DataFrame:
+    """Bins of ``(keys, value, lo, hi)`` rows, each counting ``n`` times; combined on the map side."""
+    n = F.lit(1).cast("long") if n is None else n
+    off = F.col("value") - F.col("lo")
+    binned = values.filter(F.col("value").isNotNull()).select(
+        *[c(k) for k in keys],
+        "lo",
+        "hi",
+        bin_of(F.col("value"), F.col("lo"), F.col("hi")).alias("bin"),
+        n.alias("n"),
+        (off * n).alias("s1"),
+        (off * off * n).alias("s2"),
+    )
+    return binned.groupBy(*[c(k) for k in keys], "bin").agg(
+        F.sum("n").alias("n"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
     )
 
 
-def _moments(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _moments(values: DataFrame, keys: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
     v = F.col("value")
     return values.groupBy(*[c(k) for k in keys]).agg(
         F.min(v).alias("min"),
@@ -127,14 +147,23 @@ def _moments(values: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.avg(v).alias("mean"),
         F.stddev_pop(v).alias("std"),
         F.count(v).alias("count"),
+        *extra,
     )
 
 
-def _small_groups(stats: DataFrame, quantiles: Sequence[float]) -> DataFrame:
-    """Groups of fewer than two values: standard deviation 0, every quantile the mean."""
-    few = F.col("count") < 2
-    fixed = {quantile_key(q): F.when(few, F.col("mean")).otherwise(F.col(quantile_key(q))) for q in quantiles}
-    return stats.withColumns({"std": F.when(few, F.lit(0.0)).otherwise(F.col("std")), **fixed})
+def _episode_ranges(flat: DataFrame, slots: int) -> DataFrame:
+    """One row per episode: its length and an array with the range of every slot."""
+    if slots <= WIDE_SLOTS:
+        x = [F.col("_x")[i] for i in range(slots)]
+        ranges = [F.struct(F.min(v).alias("min"), F.max(v).alias("max")) for v in x]
+        return flat.groupBy(EPISODE).agg(F.array(*ranges).alias("_r"), F.count(F.lit(1)).alias("_length"))
+    values = flat.select(EPISODE, F.posexplode("_x").alias("slot", "value"))
+    per_slot = values.groupBy(EPISODE, "slot").agg(F.min("value").alias("min"), F.max("value").alias("max"), F.count(F.lit(1)).alias("_n"))
+    # As many entries as there are numbers in a frame.
+    per_episode = per_slot.groupBy(EPISODE).agg(
+        F.array_sort(F.collect_list(F.struct("slot", "min", "max"))).alias("_r"), F.max("_n").alias("_length")
+    )
+    return per_episode.withColumn("_r", F.transform("_r", lambda r: F.struct(r["min"].alias("min"), r["max"].alias("max"))))
 
 
 def episode_stats(
@@ -142,33 +171,23 @@ def episode_stats(
 ) -> DataFrame:
     """Statistics per (episode, feature, dim).
 
-    Two passes over the numeric columns: ranges, then bin counts, both combined on the map side. Ranges return to the
-    frames on ``(episode, block)``, so a very long episode is spread over tasks in both. ``mode='exact'`` replaces the
-    histogram quantiles by Spark's exact percentiles.
+    Two passes over the numeric columns: ranges, then bins, both combined on the map side. Ranges return to the frames on
+    ``(episode, block)``, so a very long episode is spread over tasks in both. ``mode='exact'`` replaces the histogram
+    quantiles by Spark's exact percentiles.
     """
     features = array_features(frames, features)
     slots = numeric_slots(features)
     flat = frames.select(EPISODE, FRAME, flat_vector(features).alias("_x"))
-    values = flat.select(EPISODE, F.posexplode("_x").alias("slot", "value"))
     keys = [EPISODE, "slot"]
-    moments = _moments(values, keys)
     if mode == "exact":
-        found = values.groupBy(*keys).agg(
-            *[F.percentile("value", q).alias(quantile_key(q)) for q in quantiles]
-        )
+        values = flat.select(EPISODE, F.posexplode("_x").alias("slot", "value"))
+        stats = _moments(values, keys, [F.percentile("value", q).alias(quantile_key(q)) for q in quantiles])
     else:
-        # One small array per episode: as many entries as there are numbers in a frame.
-        ranges = moments.groupBy(EPISODE).agg(
-            F.array_sort(F.collect_list(F.struct("slot", "min", "max"))).alias("_r"), F.max("count").alias("_length")
-        )
-        sized = join_episodes(flat, ranges, length="_length")
+        sized = join_episodes(flat, _episode_ranges(flat, len(slots)), length="_length")
         with_range = F.zip_with("_x", "_r", lambda x, r: F.struct(x.alias("value"), r["min"].alias("lo"), r["max"].alias("hi")))
         rows = sized.select(EPISODE, F.posexplode(with_range).alias("slot", "_v")).select(*keys, "_v.*")
-        found = quantiles_from_bins(_bin_counts(rows, keys), keys, quantiles)
-    stats = _small_groups(moments.join(found, keys), quantiles)
-    return name_slots(stats, slots).select(
-        EPISODE, "feature", "dim", *STATS, *[quantile_key(q) for q in quantiles]
-    )
+        stats = stats_from_bins(bin_counts(rows, keys), keys, quantiles)
+    return name_slots(stats, slots).select(EPISODE, "feature", "dim", *STATS, *[quantile_key(q) for q in quantiles])
 
 
 def dataset_quantiles(
@@ -181,11 +200,9 @@ def dataset_quantiles(
     if pooled:
         first = {n: slots.index((n, 0)) for n, _ in slots}
         values = values.withColumn("slot", F.element_at(F.array(*[F.lit(first[n]) for n, _ in slots]), F.col("slot") + 1))
-    moments = _moments(values, ["slot"])
-    ranges = moments.select("slot", F.col("min").alias("lo"), F.col("max").alias("hi"))
+    ranges = values.groupBy("slot").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     sized = dictionary_join(values, ranges, "slot", [EPISODE, FRAME], "inner")
-    found = quantiles_from_bins(_bin_counts(sized, ["slot"]), ["slot"], quantiles)
-    stats = _small_groups(moments.join(found, "slot"), quantiles)
+    stats = stats_from_bins(bin_counts(sized, ["slot"]), ["slot"], quantiles)
     return name_slots(stats, slots).select("feature", "dim", *STATS, *[quantile_key(q) for q in quantiles])
 
 
@@ -194,9 +211,7 @@ def row_stats(rows: DataFrame, vector: str, key: str, quantiles: Sequence[float]
     x = F.transform(c(vector), lambda v: v.cast("double"))
     wide = rows.select(c(key), x.alias("_x")).withColumns({"lo": F.array_min("_x"), "hi": F.array_max("_x")})
     values = wide.select(c(key), "lo", "hi", F.explode("_x").alias("value"))
-    moments = _moments(values, [key])
-    found = quantiles_from_bins(_bin_counts(values, [key]), [key], quantiles)
-    return _small_groups(moments.join(found, key), quantiles)
+    return stats_from_bins(bin_counts(values, [key]), [key], quantiles)
 
 
 def stats_by_axis(frames: DataFrame, features: Mapping[str, Mapping], axis: int | tuple | None) -> DataFrame:
@@ -282,24 +297,11 @@ def image_stats(images: DataFrame, pixels: str, channels: int, height: int, widt
     values = values.groupBy(*key_cols, F.floor(F.col("_i") / per_channel).cast("int").alias("dim"), "_v").agg(F.count(F.lit(1)).alias("n"))
     values = values.withColumn("value", F.col("_v").cast("double"))
     group = [*keys, "dim"]
-    n, v = F.col("n"), F.col("value")
-    moments = values.groupBy(*[c(k) for k in group]).agg(
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        (F.sum(n * v) / F.sum(n)).alias("mean"),
-        F.sum(n).alias("_pixels"),
-        F.sum(n * v * v).alias("_sq"),
-    )
-    ranged = values.join(moments.select(*[c(k) for k in group], F.col("min").alias("lo"), F.col("max").alias("hi")), group)
-    found = quantiles_from_bins(_bin_counts(ranged, group, n), group)
-    out = moments.join(found, group)
-    std = F.sqrt(F.greatest(F.lit(0.0), F.col("_sq") / F.col("_pixels") - F.col("mean") * F.col("mean")))
-    return out.select(
-        *[c(k) for k in group],
-        *[(F.col(s) / 255.0).alias(s) for s in ("min", "max", "mean")],
-        (std / 255.0).alias("std"),
-        (F.col("_pixels") / per_channel).cast("long").alias("count"),
-        *[(F.col(quantile_key(q)) / 255.0).alias(quantile_key(q)) for q in QUANTILES],
+    ranges = values.groupBy(*[c(k) for k in group]).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    out = stats_from_bins(bin_counts(values.join(ranges, group), group, F.col("n")), group)
+    scaled = ["min", "max", "mean", "std", *[quantile_key(q) for q in QUANTILES]]
+    return out.withColumns(
+        {**{n: F.col(n) / 255.0 for n in scaled}, "count": (F.col("count") / per_channel).cast("long")}
     )
 
 

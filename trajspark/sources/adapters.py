@@ -16,17 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dense_episodes(lengths: DataFrame, key: str) -> DataFrame:
+def dense_episodes(lengths: DataFrame, key: str, at_most: int | None = None) -> DataFrame:
     """Number episodes by ``key`` and lay them end to end; ``lengths`` has one row per episode with ``length``."""
-    numbered = positions(lengths, "episode_index", [key])
-    summed = running(numbered, {"dataset_to_index": ("sum", F.col("length"))}, keys=(), order="episode_index")
+    numbered = positions(lengths, "episode_index", [key], at_most=at_most)
+    ends = {"dataset_to_index": ("sum", F.col("length"))}
+    summed = running(numbered, ends, keys=(), order="episode_index", at_most=at_most)
     return summed.withColumn("dataset_from_index", F.col("dataset_to_index") - F.col("length"))
 
 
-def task_dictionary(rows: DataFrame, text: str) -> DataFrame:
+def task_dictionary(rows: DataFrame, text: str, at_most: int | None = None) -> DataFrame:
     """Distinct texts numbered in sorted order."""
     distinct = rows.select(c(text).alias("task")).filter(F.col("task").isNotNull()).distinct()
-    return positions(distinct, "task_index", ["task"])
+    return positions(distinct, "task_index", ["task"], at_most=at_most)
 
 
 def build_frames(
@@ -35,16 +36,18 @@ def build_frames(
     """Turn ordered rows into frames, episodes and tasks.
 
     ``extra`` holds per-episode aggregates to carry to every frame. The raw rows are shuffled once, for the order; the
-    episode table joins back on ``(key, block)``.
+    episode table joins back on ``(key, block)``. The row count, which Parquet answers from its footers, bounds all three
+    tables and decides whether hot groups have to be looked for.
     """
-    ordered = positions(raw, "frame_index", order, [key])
+    rows = raw.count()
+    ordered = positions(raw, "frame_index", order, [key], at_most=rows)
     per_key = raw.groupBy(c(key)).agg(
         F.count(F.lit(1)).alias("length"), *[e.alias(n) for n, e in (extra or {}).items()]
     )
-    episodes = dense_episodes(per_key, key)
+    episodes = dense_episodes(per_key, key, rows)
     frames = join_episodes(ordered, episodes, keys=(key,))
     frames = frames.withColumn("index", F.col("dataset_from_index") + F.col("frame_index"))
-    tasks = task_dictionary(raw, task)
+    tasks = task_dictionary(raw, task, rows)
     frames = dictionary_join(frames, tasks.withColumnRenamed("task", task), task, ["index"])
     return frames, episodes, tasks
 
