@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajspark.functions.columns import c
@@ -26,8 +26,8 @@ def with_subtask_text(frames: DataFrame, subtasks: DataFrame | None) -> DataFram
 def frame_to_episode(queries: DataFrame, episodes: DataFrame, index: str = "index") -> DataFrame:
     """Episode of a global index by the half-open range it falls in; indices outside every range get episode 0.
 
-    Ranges are cut along a grid of ``blockRows`` indices, which turns the range join into an equi-join on the grid cell.
-    A cell holds at most one cell width of ranges, and queries of a cell are spread by salting on the index.
+    Ranges are cut along a grid of ``blockRows`` indices, which turns the range join into an equi-join on the grid cell;
+    a cell holds at most one cell width of ranges and of distinct indices.
     """
     size = block_rows(queries)
     first = F.floor(F.col("dataset_from_index") / size)
@@ -50,26 +50,23 @@ def index_join(frames: DataFrame, values: DataFrame, how: str = "left") -> DataF
     return frames.join(values, "index", how)
 
 
-def nearest_frame(queries: DataFrame, frames: DataFrame, tolerance: float, keys: Sequence[str] = (EPISODE,), at: str = "query_time") -> DataFrame:
+def nearest_frame(
+    queries: DataFrame, frames: DataFrame, tolerance: float, query_id: str, keys: Sequence[str] = (EPISODE,), at: str = "query_time"
+) -> DataFrame:
     """Frame with the timestamp nearest to ``at`` per key; the earlier frame wins a tie.
 
-    ``queries`` holds ``keys`` and ``at``; ``frames`` holds ``keys``, ``frame_index`` and ``timestamp``. Only distances
-    under ``tolerance`` count, so candidates meet on time cells of that width and its two neighbours; queries without a
-    candidate come back with ``is_violation`` true.
+    ``queries`` holds a unique ``query_id``, ``keys`` and ``at``; ``frames`` holds ``keys``, ``frame_index`` and
+    ``timestamp``. Only distances under ``tolerance`` count, so queries meet frames of their time cell of that width and
+    its two neighbours. Queries without a candidate come back with ``is_violation`` true.
     """
     cell = F.floor(c("timestamp") / F.lit(tolerance))
     source = frames.select(*[c(k) for k in keys], cell.alias("_cell"), c("timestamp").alias("_t"), F.col(FRAME).alias("_f"))
-    # Within one cell only its first frame and its last two can be nearest to anything outside it, but queries fall inside
-    # cells too, so all frames of a cell stay; the cell is the smallest unit that can be asked for.
     home = F.floor(c(at) / F.lit(tolerance))
-    asked = queries.withColumn("_q", F.xxhash64(*[c(k) for k in keys], c(at)))
-    asked = asked.withColumn("_cell", F.explode(F.array(home - 1, home, home + 1)))
-    met = asked.join(source, [*keys, "_cell"], "left").withColumn("_d", F.abs(F.col("_t") - c(at)))
-    ok = F.col("_d") < tolerance
-    best = met.groupBy(*[c(n) for n in queries.columns]).agg(
-        F.min(F.when(ok, F.struct("_d", "_t", "_f"))).alias("_b")
-    )
-    return best.select(
+    asked = queries.select(c(query_id), *[c(k) for k in keys], c(at), F.explode(F.array(home - 1, home, home + 1)).alias("_cell"))
+    met = asked.join(source, [*keys, "_cell"]).withColumn("_d", F.abs(F.col("_t") - c(at))).filter(F.col("_d") < tolerance)
+    best = met.groupBy(c(query_id)).agg(F.min(F.struct("_d", "_t", "_f")).alias("_b"))
+    out = queries.join(best, query_id, "left")
+    return out.select(
         *[c(n) for n in queries.columns],
         F.col("_b._f").alias("nearest_frame"),
         F.col("_b._t").alias("nearest_time"),
@@ -106,7 +103,10 @@ def subtask_of_frame(frames: DataFrame, intervals: DataFrame) -> DataFrame:
         .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (f - F.col("_s.start_frame")) / span)))
     )
     out = joined.withColumn("_s", found)
-    return out.withColumns({"subtask": F.col("_s.name"), "subtask_pos": F.col("_s.pos"), "tau": tau}).drop("_iv", "_s", "_length")
+    gapped = F.coalesce(F.col("_s.end_frame") < f, F.lit(False))
+    return out.withColumns(
+        {"subtask": F.col("_s.name"), "subtask_pos": F.col("_s.pos"), "tau": tau, "in_gap": gapped}
+    ).drop("_iv", "_s", "_length")
 
 
 def common_columns_union(members: Sequence[DataFrame]) -> DataFrame:

@@ -114,8 +114,10 @@ def pack_groups(df: DataFrame, order: str, caps: Mapping[str, int], out: str = "
     )
     needed = base.select(*[c(k) for k in keys], c(order), "_block", *[c(w).cast("long").alias(w) for w in weights])
     solved = needed.groupBy(*[c(k) for k in keys], "_block").applyInPandas(solve, solved_schema)
-    grouped = solved.groupBy(*[c(k) for k in keys]) if keys else solved.groupBy(F.lit(0))
-    chained = grouped.applyInPandas(chain, chained_schema)
+    if keys:
+        chained = solved.groupBy(*[c(k) for k in keys]).applyInPandas(chain, chained_schema)
+    else:
+        chained = solved.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(chain, chained_schema)
     numbered_schema = T.StructType([*key_fields, df.schema[order], T.StructField(out, T.LongType())])
     numbered = (
         needed.join(chained, [*keys, "_block"])

@@ -107,6 +107,13 @@ def subset(ds: EpisodicDataset, ids: Sequence[int]) -> EpisodicDataset:
     return ds.with_(frames=filter_episodes(ds.frames, ids), episodes=episodes)
 
 
+def subset_columns(ds: EpisodicDataset, names: Sequence[str]) -> EpisodicDataset:
+    """View of a dataset on some features; the required columns stay."""
+    kept = [n for n in ds.frames.columns if n in names or n in REQUIRED_COLUMNS]
+    features = {k: v for k, v in ds.features.items() if k in names or k in REQUIRED_COLUMNS}
+    return ds.with_(frames=ds.frames.select(*[c(n) for n in kept]), info={**ds.info, "features": features})
+
+
 def totals(ds: EpisodicDataset) -> DataFrame:
     return ds.episodes.agg(F.count(F.lit(1)).alias("num_episodes"), F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("num_frames"))
 
@@ -161,6 +168,19 @@ def modify_features(
     return ds.with_(frames=frames, info={**ds.info, "features": features}, stats=stats)
 
 
+def map_batches(frames: DataFrame, fn: Callable, schema: T.StructType) -> DataFrame:
+    """``mapInPandas`` for columns whose names hold dots; ``fn`` sees and returns the real names."""
+    real, made = frames.columns, [f.name for f in schema.fields]
+    safe_in = frames.toDF(*[f"c{i}" for i in range(len(real))])
+    safe_out = T.StructType([T.StructField(f"o{i}", f.dataType) for i, f in enumerate(schema.fields)])
+
+    def batches(parts):
+        for pdf in fn(p.set_axis(real, axis=1) for p in parts):
+            yield pdf[made].set_axis([f"o{i}" for i in range(len(made))], axis=1)
+
+    return safe_in.mapInPandas(batches, safe_out).toDF(*made)
+
+
 def row_feature(frames: DataFrame, name: str, fn: Callable, kind: T.DataType) -> DataFrame:
     """Column from a row function, in Arrow batches."""
     schema = T.StructType([*frames.schema.fields, T.StructField(name, kind)])
@@ -168,10 +188,9 @@ def row_feature(frames: DataFrame, name: str, fn: Callable, kind: T.DataType) ->
     def batches(parts):
         for pdf in parts:
             rows = pdf.to_dict("records")
-            pdf[name] = [fn(r, r[EPISODE], r[FRAME]) for r in rows]
-            yield pdf
+            yield pdf.assign(**{name: [fn(r, r[EPISODE], r[FRAME]) for r in rows]})
 
-    return frames.mapInPandas(batches, schema)
+    return map_batches(frames, batches, schema)
 
 
 def rename_columns(frames: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -490,11 +509,13 @@ def add_constant_column(df: DataFrame, name: str, value: object) -> DataFrame:
 
 def to_long_series(frames: DataFrame, vectors: Mapping[str, str], scalars: Sequence[str]) -> DataFrame:
     """(episode_index, frame_index, timestamp, entity, value); vectors give ``name/0``, ``name/1``, …"""
-    point = lambda entity, value: F.struct(entity.alias("entity"), value.cast("double").alias("value"))
-    parts = [
-        F.transform(c(col), lambda x, i, label=label: point(F.concat(F.lit(f"{label}/"), i.cast("string")), x))
-        for label, col in vectors.items()
-    ]
+    def point(entity: Column, value: Column) -> Column:
+        return F.struct(entity.alias("entity"), value.cast("double").alias("value"))
+
+    def entries(label: str, col: str) -> Column:
+        return F.transform(c(col), lambda x, i: point(F.concat(F.lit(f"{label}/"), i.cast("string")), x))
+
+    parts = [entries(label, col) for label, col in vectors.items()]
     parts += [F.array(point(F.lit(s), c(s))) for s in scalars if s in frames.columns]
     rows = frames.select(EPISODE, FRAME, "timestamp", F.explode(F.concat(*parts)).alias("_p"))
     return rows.select(EPISODE, FRAME, "timestamp", "_p.entity", "_p.value")
