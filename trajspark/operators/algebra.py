@@ -281,18 +281,19 @@ def register_tasks(tasks: DataFrame, texts: Sequence[str] | DataFrame) -> DataFr
 # ---------------------------------------------------------------- append and rebuild
 
 
-def append_episodes(ds: EpisodicDataset, rows: DataFrame, key: str, order: Sequence[str], features: Mapping | None = None) -> EpisodicDataset:
-    """Append many recorded episodes: assign all index columns, register tasks, extend the statistics.
+def new_episode_parts(
+    ds: EpisodicDataset, rows: DataFrame, key: str, order: Sequence[str]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(frames, episodes, tasks) for recorded rows, numbered to follow ``ds``.
 
     ``rows`` has one episode per ``key``, a ``task`` text and the feature columns; ``timestamp`` is ``frame_index / fps``
-    unless given.
+    unless given. The episodes keep ``key``.
     """
     last = ds.episodes.agg(F.coalesce(F.max(EPISODE) + 1, F.lit(0)), F.coalesce(F.max("dataset_to_index"), F.lit(0))).first()
     first_episode, first_index = int(last[0]), int(last[1])
     framed = positions(rows, FRAME, order, [key])
     lengths = rows.groupBy(c(key)).agg(F.count(F.lit(1)).alias("length"))
-    numbered = positions(lengths, EPISODE, [key])
-    laid = lay_out(numbered, first_index)
+    laid = lay_out(positions(lengths, EPISODE, [key]), first_index)
     plan = laid.select(c(key), F.col(EPISODE).alias("_e"), "dataset_from_index", "length")
     framed = join_episodes(framed, plan, keys=(key,)).withColumns(
         {EPISODE: F.col("_e") + first_episode, "index": F.col("dataset_from_index") + F.col(FRAME)}
@@ -302,8 +303,13 @@ def append_episodes(ds: EpisodicDataset, rows: DataFrame, key: str, order: Seque
     framed = dictionary_join(framed, tasks, "task", ["index"], "inner")
     if "timestamp" not in rows.columns:
         framed = framed.withColumn("timestamp", (F.col(FRAME) / F.lit(float(ds.fps))).cast("float"))
-    new_frames = framed.select(*[c(n) for n in ds.frames.columns if n in framed.columns])
-    new_episodes = laid.withColumn(EPISODE, F.col(EPISODE) + first_episode).drop(key)
+    frames = framed.select(*[c(n) for n in ds.frames.columns if n in framed.columns])
+    return frames, laid.withColumn(EPISODE, F.col(EPISODE) + first_episode), tasks
+
+
+def append_episodes(ds: EpisodicDataset, rows: DataFrame, key: str, order: Sequence[str], features: Mapping | None = None) -> EpisodicDataset:
+    """Append many recorded episodes: assign all index columns, register tasks, extend the statistics."""
+    new_frames, new_episodes, tasks = new_episode_parts(ds, rows, key, order)
     per_episode = stats = None
     if ds.episode_stats is not None:
         added = episode_stats(new_frames, features or ds.user_features())
@@ -311,7 +317,7 @@ def append_episodes(ds: EpisodicDataset, rows: DataFrame, key: str, order: Seque
         stats = combine_stats(per_episode)
     return ds.with_(
         frames=ds.frames.unionByName(new_frames, allowMissingColumns=True),
-        episodes=ds.episodes.unionByName(new_episodes, allowMissingColumns=True),
+        episodes=ds.episodes.unionByName(new_episodes.drop(key), allowMissingColumns=True),
         tasks=tasks,
         stats=stats,
         episode_stats=per_episode,

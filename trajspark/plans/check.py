@@ -1,4 +1,4 @@
-"""Compare registered queries with their SQL on the same parquet files: ``python -m trajspark.plans.check DIR [name …]``."""
+"""Compare registered queries with their SQL on the same parquet files: ``python -m trajspark.plans.check DIR [name …] [conf=value …]``."""
 
 from __future__ import annotations
 
@@ -69,10 +69,13 @@ def compare(spark, con, sf_dir: str, fn, sql: str | None) -> tuple[bool, str]:
 
 
 def main(argv) -> int:
-    sf_dir, wanted = argv[0], argv[1:]
+    sf_dir, wanted = argv[0], [a for a in argv[1:] if "=" not in a]
+    settings = dict(a.split("=", 1) for a in argv[1:] if "=" in a)
     queries, oracles = load()
     spark, con = spark_session(), connect(sf_dir)
     spark.sparkContext.setLogLevel("ERROR")
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     failed = 0
     for name, fn in queries.items():
         if wanted and not any(name.startswith(w) for w in wanted):

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from trajspark.dataset import CHUNK_FILES, DATA_FILE_MB, FORMAT_VERSION, VIDEO_FILE_MB, EpisodicDataset
 from trajspark.functions.columns import block_of, c
 from trajspark.functions.text import path_number
-from trajspark.operators.algebra import append_episodes, lay_out
+from trajspark.operators.algebra import lay_out, new_episode_parts
 from trajspark.operators.layout import EPISODE, FRAME, block_rows, join_episodes, positions
 from trajspark.operators.packing import pack_files
 from trajspark.operators.schema import SHORT_LIST, filter_episodes, infer_features
@@ -157,7 +157,7 @@ def frame_bytes(frames: DataFrame) -> int:
     return max(width, 1)
 
 
-def _write_frames(frames: DataFrame, episodes: DataFrame, path: str, mode: str) -> None:
+def _write_frames(frames: DataFrame, episodes: DataFrame, path: str, mode: str, partitions: str = "static") -> None:
     size = block_rows(frames)
     plan = episodes.select(EPISODE, "length", c("data/chunk_index").alias("chunk_index"), c("data/file_index").alias("file_index"))
     extra = [] if "length" in frames.columns else ["length"]
@@ -165,7 +165,8 @@ def _write_frames(frames: DataFrame, episodes: DataFrame, path: str, mode: str)
     # A task gets the rows of one file, or one block of an episode that is larger than that.
     spread = placed.repartition("chunk_index", "file_index", block_of(c(FRAME), size))
     ordered = spread.sortWithinPartitions("chunk_index", "file_index", EPISODE, FRAME)
-    ordered.write.mode(mode).partitionBy("chunk_index", "file_index").parquet(path)
+    writer = ordered.write.mode(mode).option("partitionOverwriteMode", partitions)
+    writer.partitionBy("chunk_index", "file_index").parquet(path)
 
 
 def write_dataset(ds: EpisodicDataset, root: str, max_mb: float = DATA_FILE_MB, bytes_per_frame: int | None = None) -> EpisodicDataset:
@@ -235,31 +236,40 @@ def nested_stats(stats: DataFrame) -> dict:
     return {f: {k: (v[:1] if k == "count" else v) for k, v in s.items()} for f, s in out.items()}
 
 
-def append_dataset(spark: SparkSession, root: str, rows: DataFrame, key: str, order: Sequence[str]) -> EpisodicDataset:
+def append_dataset(
+    spark: SparkSession, root: str, rows: DataFrame, key: str, order: Sequence[str], key_column: str | None = None
+) -> EpisodicDataset:
     """Append episodes to a written dataset: indices continue, new rows go to the files after the last one.
 
-    Data is written before the episode table, whose rows make the new files visible to readers that go by it.
+    The rows of the episode table are the commit: they are written last, and an attempt that failed before is written
+    over, since it was given the same file numbers. ``key_column`` keeps the source key of each episode under that name.
     """
     ds = read_dataset(spark, root)
-    before = ds.episodes.agg(F.max(EPISODE).alias("e"), F.max(F.struct(c("data/chunk_index").alias("c"), c("data/file_index").alias("f"))).alias("at")).first()
-    last, at = before["e"], before["at"]
-    grown = append_episodes(ds, rows, key, order)
-    new_episodes = grown.episodes.filter(F.col(EPISODE) > last)
+    before = ds.episodes.agg(F.max(F.struct(c("data/chunk_index").alias("c"), c("data/file_index").alias("f"))).alias("at")).first()
+    at = before["at"]
+    frames, episodes, tasks = new_episode_parts(ds, rows, key, order)
     per_frame = ds.info.get("bytes_per_frame") or frame_bytes(ds.frames)
-    dense = positions(new_episodes.drop("data/chunk_index", "data/file_index"), "_at", [EPISODE]).withColumn("_bytes", F.col("length") * per_frame)
-    planned = pack_files(dense, "_bytes", ds.info.get("data_files_size_in_mb", DATA_FILE_MB), CHUNK_FILES, "_at").drop("_at", "_bytes")
-    first = at["c"] * CHUNK_FILES + at["f"] + 1
+    dense = positions(episodes, "_at", [EPISODE]).withColumn("_bytes", F.col("length") * per_frame)
+    limit = ds.info.get("data_files_size_in_mb", DATA_FILE_MB)
+    planned = pack_files(dense, "_bytes", limit, CHUNK_FILES, "_at").drop("_at", "_bytes")
+    first = 0 if at is None else at["c"] * CHUNK_FILES + at["f"] + 1
     number = F.lit(first) + c("data/chunk_index") * CHUNK_FILES + c("data/file_index")
     planned = planned.withColumns({"data/chunk_index": F.floor(number / CHUNK_FILES), "data/file_index": number % CHUNK_FILES})
-    staged = f"{root}/meta/_appended_after_{last}"
-    planned.write.mode("overwrite").parquet(staged)
-    episodes = spark.read.parquet(staged)
-    tasks = [tuple(r) for r in grown.tasks.select("task_index", "task").collect()]
-    _write_frames(grown.frames.filter(F.col(EPISODE) > last), episodes, f"{root}/data", "append")
-    spark.createDataFrame(tasks, ds.tasks.select("task_index", "task").schema).write.mode("overwrite").parquet(f"{root}/meta/tasks.parquet")
-    episodes.write.mode("append").parquet(f"{root}/meta/episodes")
+    planned = planned.withColumnRenamed(key, key_column) if key_column else planned.drop(key)
+    dictionary = [tuple(r) for r in tasks.select("task_index", "task").collect()]
+    _write_frames(frames, planned, f"{root}/data", "overwrite", "dynamic")
+    schema = ds.tasks.select("task_index", "task").schema
+    spark.createDataFrame(dictionary, schema).write.mode("overwrite").parquet(f"{root}/meta/tasks.parquet")
+    planned.write.mode("append").parquet(f"{root}/meta/episodes")
     totals = read_episodes(spark, root).agg(F.count(F.lit(1)).alias("e"), F.sum("length").alias("f")).first()
-    info = {**ds.info, "total_episodes": totals["e"], "total_frames": totals["f"], "total_tasks": len(tasks), "splits": {"train": f"0:{totals['e']}"}}
+    info = {
+        **ds.info,
+        "total_episodes": totals["e"],
+        "total_frames": totals["f"],
+        "total_tasks": len(dictionary),
+        "splits": {"train": f"0:{totals['e']}"},
+        "exact_names": False,
+    }
     _write_text(spark, f"{root}/meta/info.json", json.dumps(info))
     return read_dataset(spark, root)
 
