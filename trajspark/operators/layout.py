@@ -228,12 +228,11 @@ def positions(
 
     counts = pieces.filter(F.col("_piece").isNotNull()).groupBy(*key_cols, "_piece").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*key_cols).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.sum("_n").over(before)).drop("_n")
+    offsets = counts.withColumn("_piece_from", F.sum("_n").over(before)).drop("_n")
     local = Window.partitionBy(*key_cols, F.col("_piece")).orderBy(*order_cols)
-    ranked = pieces.withColumn("_at", F.row_number().over(local) - 1).join(offsets, [*keys, "_piece"], "left")
-    return ranked.withColumn(name, (F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_at")).cast("long")).drop(
-        "_at", "_offset", "_piece"
-    )
+    ranked = pieces.withColumn("_piece_at", F.row_number().over(local) - 1).join(offsets, [*keys, "_piece"], "left")
+    place = F.coalesce(F.col("_piece_from"), F.lit(0)) + F.col("_piece_at")
+    return ranked.withColumn(name, place.cast("long")).drop("_piece_at", "_piece_from", "_piece")
 
 
 def _cut_points(df: DataFrame, keys: Sequence[str], lead: Column, hot: list, hot_rows: int) -> DataFrame:

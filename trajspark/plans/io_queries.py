@@ -97,5 +97,5 @@ def t5(spark, d):
     stream, folder = shards(spark, rows, "seq")
     ops.stream_episode_writer(stream, root, "user_id", ["seq"], "is_last", f"{folder}/cp", availableNow=True).awaitTermination()
     episodes = io.read_episodes(spark, root).filter("source_key IS NOT NULL").select("episode_index", F.col("source_key").alias("user_id"))
-    frames = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/data").join(episodes, "episode_index")
+    frames = io.read_dataset(spark, root).frames.join(episodes, "episode_index")
     return frames.select("user_id", "frame_index", c("next.reward").alias("reward"))

@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trajspark.dataset import CHUNK_FILES, DATA_FILE_MB, FORMAT_VERSION, VIDEO_FILE_MB, EpisodicDataset
 from trajspark.functions.columns import block_of, c
@@ -91,7 +92,8 @@ def read_subtasks(spark: SparkSession, root: str) -> DataFrame | None:
 
 def read_episodes(spark: SparkSession, root: str, with_stats: bool = False) -> DataFrame:
     """Episode table; its ``stats/*`` columns are only read when asked for."""
-    table = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/meta/episodes")
+    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+    table = reader.parquet(f"{root}/meta/episodes")
     return table if with_stats else table.select(*[c(n) for n in table.columns if not n.startswith("stats/")])
 
 
@@ -101,6 +103,8 @@ def read_dataset(spark: SparkSession, root: str, episodes: Sequence[int] | None
     check_version(info)
     table = read_episodes(spark, root)
     reader = spark.read.option("recursiveFileLookup", "true")
+    if "frame_schema" in info:
+        reader = reader.schema(T.StructType.fromJson(info["frame_schema"]))
     paths = [f"{root}/data"]
     if episodes is not None:
         table = filter_episodes(table, episodes)
@@ -205,6 +209,7 @@ def write_dataset(ds: EpisodicDataset, root: str, max_mb: float = DATA_FILE_MB,
         "splits": ds.info.get("splits", {"train": f"0:{totals['e']}"}),
         "exact_names": False,
         "bytes_per_frame": per_frame,
+        "frame_schema": json.loads(ds.frames.schema.json()),
     }
     _write_text(spark, f"{root}/meta/info.json", json.dumps(info))
     return read_dataset(spark, root)
