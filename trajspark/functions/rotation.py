@@ -13,6 +13,11 @@ SMALL_SINE = 1e-10
 NORM_EPS = 1e-6
 
 
+def _let(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once, so that chained conversions do not multiply the expression."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def _scale(v: Column, k: Column) -> Column:
     return F.transform(v, lambda x: x * k)
 
@@ -22,45 +27,58 @@ def _zeros(n: int) -> Column:
 
 
 def rotvec_to_quat(v: Column) -> Column:
-    angle = norm(v)
-    sine = F.sin(angle / 2) / angle
-    turned = F.concat(_scale(v, sine), F.array(F.cos(angle / 2)))
-    return F.when(angle < SMALL_ANGLE, F.array(*[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)])).otherwise(turned)
+    def turned(u: Column) -> Column:
+        return F.concat(_scale(u["v"], F.sin(u["a"] / 2) / u["a"]), F.array(F.cos(u["a"] / 2)))
+
+    none = F.array(*[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)])
+    with_angle = F.struct(v.alias("v"), norm(v).alias("a"))
+    return _let(with_angle, lambda u: F.when(u["a"] < SMALL_ANGLE, none).otherwise(turned(u)))
+
+
+def _axis_angle(q: Column, w: Column, small: float, none) -> Column:
+    parts = F.struct(F.slice(q, 1, 3).alias("v"), w.alias("w"), F.sqrt(F.greatest(F.lit(0.0), 1.0 - w * w)).alias("s"))
+    return _let(parts, lambda u: F.when(u["s"] <= small, none(u["v"])).otherwise(_scale(u["v"], 2.0 * F.acos(u["w"]) / u["s"])))
 
 
 def quat_to_rotvec(q: Column) -> Column:
     """Shortest rotation: the sign is flipped when w is negative; small angles are linearised."""
-    sign = F.when(q[3] < 0, -1.0).otherwise(1.0)
-    w = F.least(F.lit(1.0), F.abs(q[3]))
-    xyz = _scale(F.slice(q, 1, 3), sign)
-    sine = F.sqrt(F.greatest(F.lit(0.0), 1.0 - w * w))
-    return F.when(sine < SMALL_ANGLE, _scale(xyz, F.lit(2.0))).otherwise(_scale(xyz, 2.0 * F.acos(w) / sine))
+
+    def shortest(x: Column) -> Column:
+        same = _scale(x, F.when(x[3] < 0, -1.0).otherwise(1.0))
+        return _axis_angle(same, F.least(F.lit(1.0), F.abs(x[3])), SMALL_ANGLE, lambda v: _scale(v, F.lit(2.0)))
+
+    return _let(q, shortest)
 
 
 def quat_to_axis_angle(q: Column) -> Column:
     """w is clamped to [-1, 1] and keeps its sign; rotations without an axis give zeros."""
-    w = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), q[3]))
-    sine = F.sqrt(F.greatest(F.lit(0.0), 1.0 - w * w))
-    return F.when(sine > SMALL_SINE, _scale(F.slice(q, 1, 3), 2.0 * F.acos(w) / sine)).otherwise(_zeros(3))
+    clamp = lambda x: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x[3]))
+    return _let(q, lambda x: _axis_angle(x, clamp(x), SMALL_SINE, lambda v: _zeros(3)))
 
 
 def matrix_to_6d(m: Column) -> Column:
     """First two columns of a 3 x 3 matrix given as rows."""
-    return F.array(*[m[r][k] for k in (0, 1) for r in (0, 1, 2)])
+    return _let(m, lambda x: F.array(*[x[r][k] for k in (0, 1) for r in (0, 1, 2)]))
 
 
 def quat_to_matrix(q: Column) -> Column:
-    x, y, z, w = q[0], q[1], q[2], q[3]
-    return F.array(
-        F.array(1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w)),
-        F.array(2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w)),
-        F.array(2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y)),
-    )
+    def rows(v: Column) -> Column:
+        x, y, z, w = v[0], v[1], v[2], v[3]
+        return F.array(
+            F.array(1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w)),
+            F.array(2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w)),
+            F.array(2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y)),
+        )
+
+    return _let(q, rows)
 
 
-def _unit(v: list[Column]) -> list[Column]:
-    size = F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2]) + F.lit(NORM_EPS)
-    return [x / size for x in v]
+def _unit(v: Column) -> Column:
+    return _let(F.struct(v.alias("v"), (norm(v) + F.lit(NORM_EPS)).alias("n")), lambda u: _scale(u["v"], 1 / u["n"]))
+
+
+def _cross(a: Column, b: Column) -> Column:
+    return F.array(a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0])
 
 
 def six_d_to_axis_angle(v: Column) -> Column:
@@ -68,20 +86,33 @@ def six_d_to_axis_angle(v: Column) -> Column:
 
     Half turns, where that part vanishes, take the axis from the diagonal.
     """
-    b1 = _unit([v[0], v[1], v[2]])
-    a2 = [v[3], v[4], v[5]]
-    dot = b1[0] * a2[0] + b1[1] * a2[1] + b1[2] * a2[2]
-    b2 = _unit([a - dot * b for a, b in zip(a2, b1)])
-    b3 = [b1[1] * b2[2] - b1[2] * b2[1], b1[2] * b2[0] - b1[0] * b2[2], b1[0] * b2[1] - b1[1] * b2[0]]
-    cosine = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (b1[0] + b2[1] + b3[2] - 1) / 2))
-    angle = F.acos(cosine)
-    turn = [b2[2] - b3[1], b3[0] - b1[2], b1[1] - b2[0]]
-    sine = F.sin(angle)
-    general = F.array(*[t * angle / (2 * sine) for t in turn])
-    axis = [F.sqrt(F.greatest(F.lit(0.0), (m + 1) / 2)) for m in (b1[0], b2[1], b3[2])]
-    signed = [axis[0], axis[1] * F.when(b1[1] + b2[0] < 0, -1.0).otherwise(1.0), axis[2] * F.when(b1[2] + b3[0] < 0, -1.0).otherwise(1.0)]
-    half = F.array(*[x * angle for x in signed])
-    return F.when(F.abs(sine) > 1e-6, general).when(cosine > 0, _zeros(3)).otherwise(half)
+
+    def orthogonal(x: Column, b1: Column) -> Column:
+        dot = b1[0] * x[3] + b1[1] * x[4] + b1[2] * x[5]
+        return _unit(F.array(*[x[3 + i] - dot * b1[i] for i in range(3)]))
+
+    def angle_of(b1: Column, b2: Column, b3: Column) -> Column:
+        cosine = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (b1[0] + b2[1] + b3[2] - 1) / 2))
+        turn = F.array(b2[2] - b3[1], b3[0] - b1[2], b1[1] - b2[0])
+        size = F.array(*[F.sqrt(F.greatest(F.lit(0.0), (d + 1) / 2)) for d in (b1[0], b2[1], b3[2])])
+        flip = lambda s: F.when(s < 0, -1.0).otherwise(1.0)
+        half = F.array(size[0], size[1] * flip(b1[1] + b2[0]), size[2] * flip(b1[2] + b3[0]))
+        parts = F.struct(F.acos(cosine).alias("a"), turn.alias("t"), half.alias("h"))
+
+        def pick(u: Column) -> Column:
+            sine = F.sin(u["a"])
+            general = _scale(u["t"], u["a"] / (2 * sine))
+            return F.when(F.abs(sine) > 1e-6, general).when(u["a"] < 1.0, _zeros(3)).otherwise(_scale(u["h"], u["a"]))
+
+        return _let(parts, pick)
+
+    def columns(x: Column) -> Column:
+        return _let(
+            _unit(F.slice(x, 1, 3)),
+            lambda b1: _let(orthogonal(x, b1), lambda b2: _let(_cross(b1, b2), lambda b3: angle_of(b1, b2, b3))),
+        )
+
+    return _let(v, columns)
 
 
 def pose6_to_pos_quat(p: Column) -> Column:
