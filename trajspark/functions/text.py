@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trajspark.functions.columns import c
-from trajspark.operators.layout import EPISODE, FRAME, dictionary_join, join_episodes, positions
+from trajspark.operators.joins import join_blocks, spread_intervals
+from trajspark.operators.layout import EPISODE, FRAME, dictionary_join, positions
 
 # ---------------------------------------------------------------- times (F1)
 
@@ -241,7 +242,7 @@ def rescale_points(text: Column, old: tuple[Column, Column], new: tuple[Column,
 PRIORITY = ("subtask_generation", "subtask_generation_zh", "distribute", "distribute_zh")
 
 
-def frame_instruction(frames: DataFrame, instructions: DataFrame, length: str = "episode_length", priority: Sequence[str] = PRIORITY) -> DataFrame:
+def frame_instruction(frames: DataFrame, instructions: DataFrame, priority: Sequence[str] = PRIORITY) -> DataFrame:
     """Instruction text per frame.
 
     ``instructions`` has ``episode_index, pos, key, frame_range, text``; a range ``"start end"`` holds for
@@ -249,19 +250,19 @@ def frame_instruction(frames: DataFrame, instructions: DataFrame, length: str =
     first key of ``priority`` with a text wins (written on a new line), else the plain ``instruction``.
     """
     ends = F.split("frame_range", " ")
-    entry = F.struct(
-        F.col("pos"), F.col("key"), F.when(F.col("frame_range").isNotNull(), ends[0].cast("long")).alias("s"),
-        F.when(F.col("frame_range").isNotNull(), ends[1].cast("long")).alias("e"), F.col("text"),
-    )
-    lists = instructions.groupBy(EPISODE).agg(F.array_sort(F.collect_list(entry)).alias("_in"))
+    ranged = F.col("frame_range").isNotNull()
     lengths = frames.groupBy(EPISODE).agg((F.max(FRAME) + 1).alias("_n"))
-    joined = join_episodes(frames, lists.join(lengths, EPISODE), "left", "_n")
+    placed = instructions.join(lengths, EPISODE).withColumns(
+        {"_a": F.when(ranged, ends[0].cast("long")).otherwise(0), "_e": F.when(ranged, ends[1].cast("long")).otherwise(F.col("_n"))}
+    )
+    placed = placed.withColumn("_b", F.least(F.col("_n") - 1, F.greatest(F.col("_e") - 1, F.col("_a"))))
+    joined = join_blocks(frames, spread_intervals(placed, frames, "_a", "_b", F.struct("pos", "key", "_a", "_b", "text"), "_in"))
     f = c(FRAME)
-    live = F.filter("_in", lambda x: x["s"].isNull() | ((x["s"] <= f) & (f < x["e"])) | (x["s"] == f))
+    live = F.filter("_in", lambda x: (x["_a"] <= f) & (f <= x["_b"]))
     joined = joined.withColumn("_live", live)
 
     def text(key: str) -> Column:
         return F.get(F.filter("_live", lambda x: x["key"] == key), 0)["text"]
 
     chosen = [F.when(text(k) != "", F.concat(F.lit("\n"), text(k))) for k in priority]
-    return joined.withColumn("instruction", F.coalesce(*chosen, text("instruction"), F.lit(""))).drop("_in", "_live", "_n")
+    return joined.withColumn("instruction", F.coalesce(*chosen, text("instruction"), F.lit(""))).drop("_in", "_live")

@@ -413,6 +413,6 @@ def unused_tasks(frames: DataFrame, tasks: DataFrame) -> DataFrame:
 
 
 def episodes_to_keep(episodes: DataFrame, dropped: DataFrame) -> DataFrame:
-    return episodes.join(dropped.select(EPISODE), EPISODE, "left_anti")
+    return episodes.join(dropped.select(EPISODE).distinct(), EPISODE, "left_anti")
 
 

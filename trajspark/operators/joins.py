@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajspark.functions.columns import c
-from trajspark.operators.layout import EPISODE, FRAME, block_rows, dictionary_join, join_episodes
+from trajspark.functions.columns import block_of, c
+from trajspark.operators.layout import EPISODE, FRAME, block_rows, dictionary_join, look_around
 
 
 def with_task_text(frames: DataFrame, tasks: DataFrame) -> DataFrame:
@@ -75,38 +75,56 @@ def nearest_frame(
     )
 
 
+def spread_intervals(intervals: DataFrame, frames: DataFrame, start: str, end: str, entry: Column, out: str) -> DataFrame:
+    """``entry`` of every interval as one sorted list per (episode, block) it touches.
+
+    A block only receives the intervals that reach into it, so an episode with very many intervals stays spread out.
+    """
+    size = block_rows(frames)
+    blocks = F.sequence(block_of(c(start), size), block_of(c(end), size))
+    touched = intervals.filter(c(start) <= c(end)).select(EPISODE, entry.alias("_entry"), F.explode(blocks).alias("_block"))
+    return touched.groupBy(EPISODE, "_block").agg(F.array_sort(F.collect_list("_entry")).alias(out))
+
+
+def join_blocks(frames: DataFrame, lists: DataFrame) -> DataFrame:
+    """Frames with the lists of their block."""
+    placed = frames.withColumn("_block", block_of(c(FRAME), block_rows(frames)))
+    return placed.join(lists, [EPISODE, "_block"], "left").drop("_block")
+
+
 def subtask_of_frame(frames: DataFrame, intervals: DataFrame) -> DataFrame:
     """Subtask of each frame: the first interval in order with ``start <= f <= end``.
 
     Frames in a gap take the interval before it with ``tau`` 1; frames outside all intervals get nulls. ``intervals`` has
-    ``episode_index, pos, name, start_frame, end_frame``. The intervals of an episode travel as one small array to each
-    of its blocks and are searched in place, so frames are not multiplied.
+    ``episode_index, pos, name, start_frame, end_frame`` with dense ``pos``. Gaps become intervals of their own, and each
+    block gets the few intervals that reach into it, so frames are not multiplied.
     """
-    item = F.struct("pos", "name", "start_frame", "end_frame")
-    per_episode = intervals.groupBy(EPISODE).agg(F.array_sort(F.collect_list(item)).alias("_iv"))
-    lengths = frames.groupBy(EPISODE).agg((F.max(FRAME) + 1).alias("_length"))
-    joined = join_episodes(frames, per_episode.join(lengths, EPISODE), "left", "_length")
-    f = c(FRAME)
-    inside = F.filter("_iv", lambda x: (x["start_frame"] <= f) & (f <= x["end_frame"]))
-    gap = F.filter(
-        "_iv",
-        lambda x, i: (x["end_frame"] < f)
-        & (i + 1 < F.size("_iv"))
-        & (f < F.get("_iv", i + 1)["start_frame"]),
+    following = look_around(intervals.select(EPISODE, "pos", "name", "start_frame", "end_frame"), {"_next": (F.col("start_frame"), 1)}, order="pos")
+    both = F.array(
+        F.struct(F.lit(0).alias("gap"), F.col("start_frame").alias("a"), F.col("end_frame").alias("b")),
+        F.struct(F.lit(1).alias("gap"), (F.col("end_frame") + 1).alias("a"), (F.col("_next") - 1).alias("b")),
     )
-    found = F.when(F.size(inside) > 0, F.get(inside, 0)).when(F.size(gap) > 0, F.get(gap, 0))
+    pieces = following.withColumn("_g", F.explode(both)).withColumns({"_a": F.col("_g.a"), "_b": F.col("_g.b")})
+    entry = F.struct(F.col("_g.gap").alias("gap"), "pos", "name", "start_frame", "end_frame", "_a", "_b")
+    joined = join_blocks(frames, spread_intervals(pieces, frames, "_a", "_b", entry, "_iv"))
+    f = c(FRAME)
+    found = F.get(F.filter("_iv", lambda x: (x["_a"] <= f) & (f <= x["_b"])), 0)
     span = (F.col("_s.end_frame") - F.col("_s.start_frame")).cast("double")
     tau = (
         F.when(F.col("_s").isNull(), None)
-        .when(F.col("_s.end_frame") < f, 1.0)
+        .when(F.col("_s.gap") == 1, 1.0)
         .when(span <= 0, 1.0)
         .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (f - F.col("_s.start_frame")) / span)))
     )
     out = joined.withColumn("_s", found)
-    gapped = F.coalesce(F.col("_s.end_frame") < f, F.lit(False))
     return out.withColumns(
-        {"subtask": F.col("_s.name"), "subtask_pos": F.col("_s.pos"), "tau": tau, "in_gap": gapped}
-    ).drop("_iv", "_s", "_length")
+        {
+            "subtask": F.col("_s.name"),
+            "subtask_pos": F.col("_s.pos"),
+            "tau": tau,
+            "in_gap": F.coalesce(F.col("_s.gap") == 1, F.lit(False)),
+        }
+    ).drop("_iv", "_s")
 
 
 def common_columns_union(members: Sequence[DataFrame]) -> DataFrame:
@@ -123,7 +141,7 @@ def common_columns_union(members: Sequence[DataFrame]) -> DataFrame:
 
 def missing_units(expected: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Expected units without output."""
-    return expected.select(c(key)).join(done.select(c(key)), key, "left_anti")
+    return expected.select(c(key)).join(done.select(c(key)).distinct(), key, "left_anti")
 
 
 def missing_files(expected: DataFrame, listing: DataFrame) -> DataFrame:

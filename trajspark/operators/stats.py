@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trajspark.functions.columns import c
-from trajspark.operators.layout import EPISODE, FRAME, dictionary_join, join_episodes
+from trajspark.operators.layout import EPISODE, FRAME, dictionary_join, join_episodes, positions
 
 # Fixed values of the statistics format.
 QUANTILES = (0.01, 0.10, 0.50, 0.90, 0.99)
@@ -139,7 +139,30 @@ def bin_counts(values: DataFrame, keys: Sequence[str], n: Column | None = None)
     )
 
 
-def _moments(values: DataFrame, keys: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
+def exact_percentiles(values: DataFrame, value: str, quantiles: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """Exact percentiles with linear interpolation, as columns of ``quantile_key`` names.
+
+    The values are ranked by ``positions``, which splits large groups, and the two ranks around each percentile are looked
+    up. Nothing keeps the distinct values of a group in memory.
+    """
+    key_cols = [c(k) for k in keys]
+    known = values.filter(c(value).isNotNull() & ~F.isnan(c(value))).select(*key_cols, c(value).cast("double").alias("_v"))
+    sizes = known.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
+    asked = []
+    for i, q in enumerate(quantiles):
+        at = F.lit(float(q)) * (F.col("_n") - 1)
+        low = F.floor(at)
+        for rank, weight in ((low, 1 - (at - low)), (F.least(low + 1, F.col("_n") - 1), at - low)):
+            asked.append(F.struct(F.lit(i).alias("i"), rank.alias("rank"), weight.alias("w")))
+    wanted = sizes.select(*key_cols, F.explode(F.array(*asked)).alias("_a"))
+    wanted = wanted.select(*key_cols, F.col("_a.rank").alias("_rank"), F.col("_a.i").alias("_i"), F.col("_a.w").alias("_w"))
+    found = positions(known, "_rank", ["_v"], keys).join(wanted, [*keys, "_rank"])
+    return found.groupBy(*key_cols).agg(
+        *[F.sum(F.when(F.col("_i") == i, F.col("_w") * F.col("_v"))).alias(quantile_key(q)) for i, q in enumerate(quantiles)]
+    )
+
+
+def _moments(values: DataFrame, keys: Sequence[str]) -> DataFrame:
     v = F.col("value")
     return values.groupBy(*[c(k) for k in keys]).agg(
         F.min(v).alias("min"),
@@ -147,7 +170,6 @@ def _moments(values: DataFrame, keys: Sequence[str], extra: Sequence[Column] = (
         F.avg(v).alias("mean"),
         F.stddev_pop(v).alias("std"),
         F.count(v).alias("count"),
-        *extra,
     )
 
 
@@ -173,7 +195,7 @@ def episode_stats(
 
     Two passes over the numeric columns: ranges, then bins, both combined on the map side. Ranges return to the frames on
     ``(episode, block)``, so a very long episode is spread over tasks in both. ``mode='exact'`` replaces the histogram
-    quantiles by Spark's exact percentiles.
+    quantiles by exact percentiles.
     """
     features = array_features(frames, features)
     slots = numeric_slots(features)
@@ -181,7 +203,7 @@ def episode_stats(
     keys = [EPISODE, "slot"]
     if mode == "exact":
         values = flat.select(EPISODE, F.posexplode("_x").alias("slot", "value"))
-        stats = _moments(values, keys, [F.percentile("value", q).alias(quantile_key(q)) for q in quantiles])
+        stats = _moments(values, keys).join(exact_percentiles(values, "value", quantiles, keys), keys)
     else:
         sized = join_episodes(flat, _episode_ranges(flat, len(slots)), length="_length")
         with_range = F.zip_with("_x", "_r", lambda x, r: F.struct(x.alias("value"), r["min"].alias("lo"), r["max"].alias("hi")))
@@ -421,8 +443,13 @@ def joint_limits(frames: DataFrame, vector: str) -> DataFrame:
 
 def rate_stats(durations: DataFrame, seconds: str, keys: Sequence[str] = ()) -> DataFrame:
     """Mean and 90th-percentile rate of a timed step."""
-    rate = F.when(c(seconds) > 0, 1 / c(seconds))
-    return durations.groupBy(*[c(k) for k in keys]).agg(F.avg(rate).alias("avg_rate"), F.percentile(rate, F.lit(0.9)).alias("p90_rate"))
+    rates = durations.filter(c(seconds) > 0).select(*[c(k) for k in keys], (1 / c(seconds)).alias("_rate"))
+    mean = rates.groupBy(*[c(k) for k in keys]).agg(F.avg("_rate").alias("avg_rate"))
+    high = exact_percentiles(rates, "_rate", [0.9], keys).withColumnRenamed("q90", "p90_rate")
+    if keys:
+        return mean.join(high, list(keys))
+    one = F.lit(1).alias("_one")
+    return mean.select("*", one).join(high.select("*", one), "_one").drop("_one")
 
 
 # ---------------------------------------------------------------- subtasks and distributions
