@@ -27,4 +27,5 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
 
     for path in sorted(Path(__file__).parent.glob("op*.py")):
         import_module(f"trajspark.llm.{path.stem}")
+    import_module("trajspark.llm.pipeline_query")
     return QUERIES, ORACLES
