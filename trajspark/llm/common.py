@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -84,8 +85,9 @@ def numbered(df: DataFrame, name: str, bucket: Column, order: Sequence[Column],
     return placed.withColumn(name, (F.col("_from") + F.col("_at")).cast("long")).drop("_bucket", "_from", "_at")
 
 
-def buckets_for(rows: int, per_bucket: int = 20_000) -> int:
-    return max(1, -(-rows // per_bucket))
+def buckets_for(rows: int, least: int = 1000) -> int:
+    """Buckets of ``least`` rows, or of as many rows as there are buckets where that is more."""
+    return max(1, -(-rows // max(least, math.isqrt(rows))))
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

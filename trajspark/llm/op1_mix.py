@@ -23,8 +23,8 @@ from trajspark.llm.registry import query
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-#: Documents per range of the key space.
-RANGE_ROWS = 20_000
+#: Documents per range of the key space: this many, or the square root of a source's where that is more.
+RANGE_ROWS = 1000
 
 
 def n_words(text: str) -> Column:
@@ -69,7 +69,7 @@ def mix(
     sized = stored(sized.withColumn("_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), "mix-sizes")
     sources = sized.groupBy("_source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_docs"))
     planned = stored(targets(stored(sources, "mix-sources"), weights, max_epochs), "mix-targets")
-    ranges = F.greatest(F.lit(1), F.ceil(F.col("_docs") / F.lit(RANGE_ROWS))).cast("long")
+    ranges = F.ceil(F.col("_docs") / F.greatest(F.lit(RANGE_ROWS), F.sqrt("_docs"))).cast("long")
     joined = shared_join(sized, planned.withColumn("_ranges", ranges).withColumn("_n", F.col("_docs")), ["_source"], "_n", ["doc_id"])
     at = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
     rows = joined.withColumn("_range", F.floor(at * F.col("_ranges") / F.lit(float(1 << 32))).cast("long"))
