@@ -151,3 +151,33 @@ def test_resample_matches_interp(frames, rows, blocks, fps_to):
             want = np.interp(tgt, src, [r[5][d] for r in eps])
             assert np.allclose([got[e, j][d] for j in range(m)], want)
     assert len(got) == count
+
+
+def test_positions_of_hot_groups(spark):
+    from trajspark.operators.layout import positions
+
+    spark.conf.set("spark.trajspark.hotGroupRows", "50")
+    try:
+        values = ["same"] * 300 + [None] * 200 + [f"v{i}" for i in range(40)]
+        rows = [(i % 2 if i % 7 else None, v, i) for i, v in enumerate(values)]
+        df = spark.createDataFrame(rows, "k long, v string, i long").repartition(3)
+        for order, keys in ((["v"], []), (["v", "i"], ["k"]), (["v"], ["k"])):
+            got = positions(df, "at", order, keys).collect()
+            assert len(got) == len(rows)
+            groups = {}
+            for r in got:
+                groups.setdefault(r["k"] if keys else 0, []).append(r)
+            for group in groups.values():
+                group.sort(key=lambda r: r["at"])
+                assert [r["at"] for r in group] == list(range(len(group)))
+                lead = [(r["v"] is not None, r["v"] or "", r["i"] if "i" in order else 0) for r in group]
+                assert lead == sorted(lead)
+    finally:
+        spark.conf.unset("spark.trajspark.hotGroupRows")
+
+
+def test_last_split_that_rounds_to_nothing_is_skipped():
+    from trajspark.operators.algebra import split_plan
+
+    assert list(split_plan(10, {"train": 0.5, "val": 0.05})) == ["train"]
+    assert split_plan(10, {"train": 0.5, "val": 0.2})["val"] == range(5, 10)

@@ -97,14 +97,21 @@ def delete_episodes(ds: EpisodicDataset, ids: Sequence[int]) -> EpisodicDataset:
     if left == 0:
         raise ValueError("cannot delete all episodes")
     out = reindex(ds, ds.episodes.filter(~F.col(EPISODE).isin([int(i) for i in ids])))
-    return out.with_(info={**ds.info, "total_episodes": left, "splits": {"train": f"0:{left}"}})
+    return _with_totals(out, "train")
+
+
+def _with_totals(ds: EpisodicDataset, split_name: str) -> EpisodicDataset:
+    """Totals and splits of ``info`` from the tables."""
+    row = ds.episodes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("rows")).first()
+    totals = {"total_episodes": row["n"], "total_frames": row["rows"], "total_tasks": ds.tasks.count()}
+    return ds.with_(info={**ds.info, **totals, "splits": {split_name: f"0:{row['n']}"}})
 
 
 def split_plan(total: int, parts: Mapping[str, float | Sequence[int]]) -> dict[str, range | list[int]]:
     """Episode ids per split.
 
-    Fractions take ``int(total * f)`` consecutive episodes each, the last split takes everything left and empty splits are
-    skipped; id lists must be non-empty, disjoint and valid.
+    Fractions take ``int(total * f)`` consecutive episodes each, splits for which that is 0 are skipped, and the last split
+    takes everything left; id lists must be non-empty, disjoint and valid.
     """
     if not parts:
         raise ValueError("no splits given")
@@ -113,7 +120,9 @@ def split_plan(total: int, parts: Mapping[str, float | Sequence[int]]) -> dict[s
             raise ValueError("fractions sum to more than 1")
         out, start, names = {}, 0, list(parts)
         for name in names:
-            size = total - start if name == names[-1] else int(total * parts[name])
+            size = int(total * parts[name])
+            if size > 0 and name == names[-1]:
+                size = total - start
             if size <= 0:
                 log.warning("split %s is empty and is skipped", name)
                 continue
@@ -141,7 +150,7 @@ def split(ds: EpisodicDataset, parts: Mapping[str, float | Sequence[int]]) -> di
         e = F.col(EPISODE)
         mask = e.between(ids.start, ids.stop - 1) if isinstance(ids, range) else e.isin(list(ids))
         part = reindex(ds, ds.episodes.filter(mask))
-        out[name] = part.with_(info={**ds.info, "total_episodes": len(ids), "splits": {name: f"0:{len(ids)}"}})
+        out[name] = _with_totals(part, name)
     return out
 
 
@@ -150,6 +159,8 @@ def split(ds: EpisodicDataset, parts: Mapping[str, float | Sequence[int]]) -> di
 
 def merge(members: Sequence[EpisodicDataset]) -> EpisodicDataset:
     """Concatenate compatible datasets: offsets for episodes and indices, one task dictionary in first-seen order."""
+    if not members:
+        raise ValueError("nothing to merge")
     problems = compat_problems([m.info for m in members])
     if problems:
         raise ValueError("; ".join(problems))
@@ -199,7 +210,7 @@ def merge(members: Sequence[EpisodicDataset]) -> EpisodicDataset:
         per_episode = parts.withColumn(EPISODE, F.col(EPISODE) + F.col("_episodes_before")).drop("_source", "_episodes_before", "_rows_before")
     if all(m.stats is not None for m in members):
         stats = combine_stats(stacked("stats"))
-    return EpisodicDataset(frames, moved, tasks, dict(members[0].info), stats, per_episode)
+    return _with_totals(EpisodicDataset(frames, moved, tasks, dict(members[0].info), stats, per_episode), "train")
 
 
 def shift_file_ids(episodes: DataFrame, plan: DataFrame, key: str) -> DataFrame:

@@ -14,11 +14,11 @@ size whatever the episode lengths are. Three tools build on that:
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trajspark.functions.columns import block_of, c
 
@@ -30,7 +30,6 @@ SALTS_CONF = "spark.trajspark.salts"
 DEFAULT_BLOCK_ROWS = 65_536
 DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_SALTS = 32
-SPLITS = 1_024
 
 
 def _conf(df: DataFrame, name: str, default: int) -> int:
@@ -197,67 +196,49 @@ def dictionary_join(
     return rows.withColumn("_salt", salt).join(salted, [*keys, "_salt"], how).drop("_salt")
 
 
+def set_checkpoint_dir(df: DataFrame) -> None:
+    """Use the checkpoint folder the session names; only where none is set, as in tests, take a temporary one."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is not None:
+        return
+    sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="trajspark-"))
+
+
 def positions(
     df: DataFrame, name: str, order: Sequence[str], keys: Sequence[str] = (), at_most: int | None = None
 ) -> DataFrame:
     """Add the dense 0-based position of each row in its group, in the given order.
 
-    One pass over the key column finds groups above ``spark.trajspark.hotGroupRows`` rows (there can be at most
-    total / threshold of them). Without any, a plain window does the work. A hot group is cut at approximate quantiles of
-    its leading order column; the cut points only steer balance, the counts per piece make the positions exact. Rows of
-    one hot group that share one leading value stay together, so the leading column should be the most varied one. A
-    caller that knows the table has ``at_most`` rows below the threshold saves the pass.
+    One pass over the key column tells whether a group is above ``spark.trajspark.hotGroupRows`` rows. Without any, a plain
+    window does the work. Otherwise the rows are range-partitioned by keys and order, so a hot group is cut into as many
+    pieces as it fills partitions, equal leading values by the next order column; each row's piece is fixed by a
+    checkpoint, and the counts per piece make the positions exact. Rows equal in keys and order are told apart by a hash of
+    their other columns, so only repeated rows stay together. A caller that knows the table has ``at_most`` rows below the threshold saves the pass.
     """
     hot_rows = _conf(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
     key_cols = [c(k) for k in keys]
     order_cols = [c(o) for o in order]
-    hot = []
+    hot = False
     if at_most is None or at_most > hot_rows:
-        hot = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).collect()
+        hot = not df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).isEmpty()
     if not hot:
         window = Window.partitionBy(*key_cols).orderBy(*order_cols)
         return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
 
-    cuts = _cut_points(df, keys, order_cols[0], hot, hot_rows)
-    if keys:
-        pieces = df.join(cuts, list(keys), "left")
-    else:
-        pieces = df.withColumn("_cuts", F.array(*[F.lit(v) for v in cuts.first()["_cuts"]]))
-    piece = F.size(F.filter(F.col("_cuts"), lambda x: x < order_cols[0]))
-    pieces = pieces.withColumn("_piece", F.when(F.col("_cuts").isNotNull(), piece)).drop("_cuts")
-
-    counts = pieces.filter(F.col("_piece").isNotNull()).groupBy(*key_cols, "_piece").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*key_cols).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_piece_from", F.sum("_n").over(before)).drop("_n")
-    local = Window.partitionBy(*key_cols, F.col("_piece")).orderBy(*order_cols)
-    ranked = pieces.withColumn("_piece_at", F.row_number().over(local) - 1).join(offsets, [*keys, "_piece"], "left")
-    place = F.coalesce(F.col("_piece_from"), F.lit(0)) + F.col("_piece_at")
-    return ranked.withColumn(name, place.cast("long")).drop("_piece_at", "_piece_from", "_piece")
-
-
-def _cut_points(df: DataFrame, keys: Sequence[str], lead: Column, hot: list, hot_rows: int) -> DataFrame:
-    """Hot groups with their cut points, one cut per ``hot_rows`` rows, so the table has at most total / hot_rows cuts."""
-    spark = df.sparkSession
-    fields = [df.schema[k] for k in keys]
-    hot_keys = spark.createDataFrame([tuple(r) for r in hot], T.StructType([*fields, T.StructField("_n", T.LongType())]))
-    marked = df.join(hot_keys.drop("_n"), list(keys), "left_semi") if keys else df
-    by_key = [c(k) for k in keys]
-    numeric = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)
-    if isinstance(marked.select(lead).schema[0].dataType, numeric):
-        fractions = [i / SPLITS for i in range(1, SPLITS)]
-        values = F.percentile_approx(lead, fractions, 20 * SPLITS)
-        grid = marked.groupBy(*by_key).agg(F.count(F.lit(1)).alias("_n"), values.alias("_grid"))
-    else:
-        # Strings: the grid comes from about 16 * SPLITS rows per hot group, picked by hash.
-        sized = marked.join(hot_keys, list(keys)) if keys else marked.withColumn("_n", F.lit(hot[0]["_n"]))
-        every = F.greatest(F.lit(1).cast("long"), F.floor(F.col("_n") / (16 * SPLITS)))
-        drawn = sized.filter(F.pmod(F.xxhash64(lead), every) == 0)
-        drawn = drawn.withColumn("_t", F.ntile(SPLITS).over(Window.partitionBy(*by_key).orderBy(lead)))
-        ends = drawn.groupBy(*by_key, "_n", "_t").agg(F.max(lead).alias("_v")).filter(F.col("_t") < SPLITS)
-        grid = ends.groupBy(*by_key, "_n").agg(F.sort_array(F.collect_list("_v")).alias("_grid"))
-    wanted = F.least(F.lit(SPLITS), F.ceil(F.col("_n") / hot_rows)).cast("int")
-    at = F.transform(F.sequence(F.lit(1), F.greatest(wanted - 1, F.lit(1))), lambda i: F.floor(i * SPLITS / wanted).cast("int"))
-    chosen = F.transform(at, lambda i: F.element_at("_grid", F.least(i, F.size("_grid"))))
-    kept = grid.select(*[c(k) for k in keys], F.array_distinct(chosen).alias("_cuts"))
-    schema = T.StructType([*fields, T.StructField("_cuts", T.ArrayType(kept.schema["_cuts"].dataType.elementType))])
-    return spark.createDataFrame([tuple(r) for r in kept.collect()], schema)
+    set_checkpoint_dir(df)
+    parts = max(_conf(df, "spark.sql.shuffle.partitions", 200), -(-df.count() // hot_rows))
+    tie = F.xxhash64(*[c(f.name) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")])
+    order_cols = [*order_cols, F.col("_tie")]
+    ranged = df.withColumn("_tie", tie).repartitionByRange(parts, *key_cols, *order_cols)
+    pieces = ranged.withColumn("_piece", F.spark_partition_id()).checkpoint()
+    # A null key is a group like any other, which an equi-join would lose: keys travel as one struct inside an array.
+    group = F.array(F.struct(*key_cols)) if keys else F.lit(0)
+    pieces = pieces.withColumn("_group", group)
+    counts = pieces.groupBy("_group", "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_group").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_piece_from", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    local = Window.partitionBy("_group", "_piece").orderBy(*order_cols)
+    ranked = pieces.withColumn("_piece_at", F.row_number().over(local) - 1).join(offsets, ["_group", "_piece"])
+    place = (F.col("_piece_from") + F.col("_piece_at")).cast("long")
+    return ranked.withColumn(name, place).drop("_piece_at", "_piece_from", "_piece", "_group", "_tie")

@@ -330,20 +330,20 @@ def unpack_vector(frames: DataFrame, vector: str, names: Sequence[str]) -> DataF
 
 
 def merge_vector_specs(*specs: Mapping[str, Mapping]) -> dict[str, dict]:
-    """Vectors of one name get the names of all specs in first-seen order; other features take the last spec."""
-    out: dict[str, dict] = {}
-    for features in specs:
-        for key, spec in features.items():
-            vector = spec["dtype"] not in ("image", "video", "string") and len(spec["shape"]) == 1 and spec.get("names")
-            if not vector:
-                out[key] = dict(spec)
-                continue
-            have = out.setdefault(key, {"dtype": spec["dtype"], "names": [], "shape": [0]})
-            if have["dtype"] != spec["dtype"]:
-                raise ValueError(f"dtype mismatch for {key!r}: {have['dtype']} and {spec['dtype']}")
-            have["names"] = [*have["names"], *[n for n in spec["names"] if n not in have["names"]]]
-            have["shape"] = [len(have["names"])]
-    return out
+    """One spec for all: vectors list every entry name once, in order of appearance; other features are as last given."""
+    rows = [(key, spec) for features in specs for key, spec in features.items()]
+    named = [(k, s) for k, s in rows if s["dtype"] not in ("image", "video", "string") and len(s["shape"]) == 1 and s.get("names")]
+    kinds = dict.fromkeys((k, s["dtype"]) for k, s in named)
+    vectors = dict(kinds)
+    clashes = sorted({k for k, _ in vectors if sum(k == other for other, _ in vectors) > 1})
+    if clashes:
+        raise ValueError(f"dtype mismatch for {clashes}")
+    entries = list(dict.fromkeys((k, n) for k, s in named for n in s["names"]))
+    merged = {k: dict(s) for k, s in rows}
+    for key, dtype in vectors:
+        names = [n for k, n in entries if k == key]
+        merged[key] = {"dtype": dtype, "names": names, "shape": [len(names)]}
+    return merged
 
 
 def align_vectors(members: Sequence[tuple[DataFrame, Mapping[str, Mapping]]]) -> DataFrame:
@@ -363,46 +363,39 @@ def align_vectors(members: Sequence[tuple[DataFrame, Mapping[str, Mapping]]]) ->
     return out
 
 
-# Prefixes taken off feature keys.
-STRIP = ("action.", "observation.state.", "state.", "observation.images.", "images.")
+# What is taken off the front of feature keys, and what marks an image key.
+FRONT = re.compile(r"^(action|observation\.state|state|observation\.images|images)\.")
+IMAGE_KEY = re.compile(r"(^|\.)images\.")
+
+
+def clean_name(key: str) -> str:
+    return FRONT.sub("", key, count=1)
 
 
-def strip_prefix(key: str) -> str:
-    for prefix in STRIP:
-        if key.startswith(prefix):
-            return key[len(prefix) :]
-    return key
+def _chosen(keys: Sequence[str], images: set[str], patterns: Sequence[str] | None, use_videos: bool) -> list[str]:
+    """Images by the switch, all other keys by the patterns."""
+    pattern = re.compile("|".join(f"(?:{p})" for p in patterns) if patterns else "" if patterns is None else "(?!)")
+    return [k for k in keys if (use_videos if k in images else pattern.search(k))]
 
 
 def select_pipeline_features(
     action: Mapping[str, object], observation: Mapping[str, object], patterns: Sequence[str] | None = None, use_videos: bool = True
 ) -> dict[str, dict[str, object]]:
     """Kept keys with clean names: patterns filter action and state keys, ``use_videos`` keeps or drops images."""
-
-    def is_image(key: str, value: object) -> bool:
-        shaped = isinstance(value, tuple) and len(value) == 3
-        return shaped or key.startswith(("observation.images.", "images.")) or ".images." in key
-
-    def wanted(key: str) -> bool:
-        return patterns is None or any(re.search(p, key) for p in patterns)
-
-    out = {"action": {strip_prefix(k): v for k, v in action.items() if wanted(k)}, "observation": {}}
-    for key, value in observation.items():
-        if use_videos if is_image(key, value) else wanted(key):
-            out["observation"][strip_prefix(key)] = value
-    return {k: v for k, v in out.items() if v}
+    images = {k for k, v in observation.items() if IMAGE_KEY.search(k) or (isinstance(v, tuple) and len(v) == 3)}
+    parts = {
+        "action": {clean_name(k): action[k] for k in _chosen(list(action), set(), patterns, use_videos)},
+        "observation": {clean_name(k): observation[k] for k in _chosen(list(observation), images, patterns, use_videos)},
+    }
+    return {name: part for name, part in parts.items() if part}
 
 
 def select_feature_columns(frames: DataFrame, patterns: Sequence[str] | None, use_videos: bool = True, keep: Sequence[str] = ()) -> DataFrame:
-    """The columns of ``select_pipeline_features`` under their clean names."""
-    actions = {n: None for n in frames.columns if n == "action" or n.startswith("action.")}
-    observations = {n: None for n in frames.columns if n.startswith("observation.")}
-    names = []
-    for group, feats in (("action", actions), ("observation", observations)):
-        chosen = select_pipeline_features(feats if group == "action" else {}, feats if group == "observation" else {}, patterns, use_videos)
-        clean = set(chosen.get(group, {}))
-        names += [n for n in feats if strip_prefix(n) in clean]
-    return frames.select(*[c(k) for k in keep], *[c(n).alias(strip_prefix(n)) for n in names])
+    """The columns of ``select_pipeline_features`` under their clean names; images are known by their keys."""
+    own = [n for n in frames.columns if n == "action" or n.startswith(("action.", "observation."))]
+    images = {n for n in own if IMAGE_KEY.search(n) and n.startswith("observation.")}
+    ordered = sorted(own, key=lambda n: n.startswith("observation."))
+    return frames.select(*[c(k) for k in keep], *[c(n).alias(clean_name(n)) for n in _chosen(ordered, images, patterns, use_videos)])
 
 
 def regroup_transition(frames: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trajspark.functions.columns import block_of, c
-from trajspark.operators.layout import EPISODE, FRAME, block_rows
+from trajspark.operators.layout import EPISODE, FRAME, block_rows, set_checkpoint_dir
 
 
 def keep_flags(values: np.ndarray, steps: np.ndarray, must: np.ndarray, last: np.ndarray | None, last_step: int | None, atol: float):
@@ -23,15 +21,6 @@ def keep_flags(values: np.ndarray, steps: np.ndarray, must: np.ndarray, last: np
     return kept, last, last_step
 
 
-def set_checkpoint_dir(df: DataFrame) -> None:
-    """Use the checkpoint folder the session names; only where none is set, as in tests, take a temporary one."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="trajspark-"))
-
-
 def similar_filter(frames: DataFrame, vector: str, atol: float, must_go: str | None = None, step: str = FRAME) -> DataFrame:
     """Keep an observation unless its distance to the last *kept* one is below ``atol`` or its step is that one's.
 
