@@ -68,7 +68,7 @@ class Directory:
     def owners(self, count: int) -> np.ndarray:
         """Owner of each bucket: contiguous ranges of about equal load."""
         before = np.cumsum(self.loads) - self.loads
-        return before * count // max(1, int(self.loads.sum()))
+        return np.minimum(before * count // max(1, int(self.loads.sum())), count - 1)
 
 
 def normal_text(text: str = "text") -> Column:

@@ -2,7 +2,7 @@
 
 Fit, on a bounded sample of labelled rows (EXAMPLES of them in the order of their id's MD5, texts of EXAMPLE_CHARS at most):
 near copies among the examples are dropped, terms are those whose presence depends on the label (chi-square and an
-exact binomial test), and every
+exact binomial test; words and beginnings of words), and every
 example becomes a unit TF-IDF vector over these terms. Examples are sorted by label and number into blocks; per term a block
 keeps its largest weight. A search visits blocks by their upper bound until no block can hold a better example, so the
 neighbours are exact; all examples tied with the last one count too.
@@ -31,20 +31,38 @@ from trajspark.llm.op4_simhash import fingerprint
 from trajspark.llm.op5_language import remainder
 from trajspark.llm.registry import query
 
-EXAMPLES = 10_000
+EXAMPLES = 6000
 EXAMPLE_CHARS = 10_000
 #: Examples whose SimHash differs in fewer bits than this from an earlier one are copies of it.
 COPY_BITS = 10
 #: A term needs this chi-square, and so exact a share of toxic examples that chance picks TERM_ERRORS terms in all; the
 #: strongest TERMS are kept.
 CHI_SQUARE = 20.0
-TERM_ERRORS = 0.5
+TERM_ERRORS = 0.05
 TERMS = 5000
 NEIGHBOURS = 15
 BLOCK = 64
 PRIOR_VOTES = 2.0
 LIMIT = 0.7
 WORD = re.compile(r"\w+")
+#: Besides whole words, the first letters of longer ones are terms: forms of a word then meet.
+PREFIXES = (4, 5, 6, 7)
+#: Words whose terms a task remembers.
+WORDS = 200_000
+
+
+#: A term that a text has so often is a term of its own too.
+LEVELS = (2, 4, 8)
+#: Terms are evidence of toxicity: at least this share of the examples that have one is toxic.
+SHARE = 0.6
+
+
+def word_terms(word: str) -> list[str]:
+    return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
+
+
+def levels(term: str, n: int) -> list[str]:
+    return [term, *(f"{term} {k}" for k in LEVELS if n >= k)]
 
 
 class BlockMaxIndex:
@@ -99,18 +117,25 @@ class Model:
         present: Counter = Counter()
         with_label: Counter = Counter()
         for words, label in zip(counts, labels, strict=True):
-            present.update(words.keys())
+            times = Counter()
+            for word, n in words.items():
+                for term in word_terms(word):
+                    times[term] += n
+            own = {leveled for term, n in times.items() for leveled in levels(term, n)}
+            present.update(own)
             if label:
-                with_label.update(words.keys())
+                with_label.update(own)
         strength = {}
         for word, n in present.items():
             a = with_label[word]
             bottom = n * (total - n) * toxic * (total - toxic)
             chi = total * (a * (total - n - toxic + a) - (n - a) * (toxic - a)) ** 2 / bottom if bottom else 0.0
-            if chi >= CHI_SQUARE and _log_tail(a, n, toxic / total) <= math.log(TERM_ERRORS / len(present)):
+            if a >= SHARE * n and chi >= CHI_SQUARE and _log_tail(a, n, toxic / total) <= math.log(TERM_ERRORS / len(present)):
                 strength[word] = chi
         chosen = sorted(strength, key=lambda w: (-strength[w], w))[:TERMS]
         self.terms = {w: i for i, w in enumerate(sorted(chosen))}
+        self.stems = {t.partition(" ")[0] for t in self.terms}
+        self.of_word: dict[str, tuple[str, ...]] = {}
         self.idf = [math.log((1 + total) / (1 + present[w])) + 1 for w in sorted(chosen)]
         # Blocks hold one label and similar terms where possible: bounds are tighter then.
         vectors = [self._vector(c) for c in counts]
@@ -127,10 +152,25 @@ class Model:
         self.steps = _isotonic(judged)
 
     def _vector(self, counts: Counter) -> dict[int, float]:
-        raw = {self.terms[w]: (1 + math.log(n)) * self.idf[self.terms[w]] for w, n in counts.items() if w in self.terms}
+        times: Counter = Counter()
+        for word, n in counts.items():
+            for term in self._terms_of(word):
+                times[term] += n
+        found = {self.terms[t]: n for term, n in times.items() for t in levels(term, n) if t in self.terms}
+        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in found.items()}
         norm = math.sqrt(sum(x * x for x in raw.values()))
         return {t: x / norm for t, x in sorted(raw.items())}
 
+    def _terms_of(self, word: str) -> tuple[str, ...]:
+        """Terms of a word that matter at some level."""
+        got = self.of_word.get(word)
+        if got is None:
+            got = tuple(t for t in word_terms(word) if t in self.stems)
+            if len(self.of_word) >= WORDS:
+                self.of_word.clear()
+            self.of_word[word] = got
+        return got
+
     def _near(self, vector: dict[int, float], skip: int = -1) -> list[tuple[float, int]]:
         return [f for f in self.index.search(vector, NEIGHBOURS + (skip >= 0)) if f[1] != skip]
 
@@ -141,8 +181,8 @@ class Model:
 
     def score(self, text: str | None) -> tuple[float, list]:
         """Calibrated score, and the ids of the three nearest examples."""
-        terms = self.terms
-        counts = Counter(w for w in WORD.findall((text or "").lower()) if w in terms)
+        terms = self._terms_of
+        counts = Counter(w for w in WORD.findall((text or "").lower()) if terms(w))
         if not counts:
             return self.plain, []
         key = tuple(sorted(counts.items()))
