@@ -31,7 +31,7 @@ from trajspark.llm.registry import query
 
 #: Words longer than this are not kept in a task's word table, which starts anew at WORDS entries.
 LONG_WORD = 64
-WORDS = 200_000
+WORDS = 400_000
 #: Stands for the word-end mark inside symbol strings, so that every mark is one character.
 END = "\ue000"
 #: Text the plain splitter may read: printable ASCII and white space.
@@ -69,7 +69,8 @@ class Automaton:
                 behind = self.into[u] = len(self.parent) - 1
             self.lost[behind, v] = time
         self.now = len(merges)
-        self.table: dict[tuple[int, int], bool] = {}
+        self.width = tokens
+        self.table: dict[int, bool] = {}
 
     def _arc(self, state: int, token: int, time: int) -> bool:
         """Whether ``state`` has an arc ``token`` after the merge number ``time``."""
@@ -87,11 +88,12 @@ class Automaton:
                 token, time = self.left[token], made
 
     def arc(self, state: int, token: int) -> bool:
-        found = self.table.get((state, token))
+        place = state * self.width + token
+        found = self.table.get(place)
         if found is None:
-            if len(self.table) > 4_000_000:
+            if len(self.table) > 1_000_000:
                 self.table.clear()
-            found = self.table[state, token] = self.created[token] >= 0 and self._arc(state, token, self.now)
+            found = self.table[place] = self.created[token] >= 0 and self._arc(state, token, self.now)
         return found
 
 
@@ -115,7 +117,12 @@ class Encoder:
         base = [i for t, i in ids.items() if t not in results]
         self.automaton = Automaton(max(self.labels) + 1, base, [(ids[a], ids[b], ids[a + b]) for a, b in pairs])
         self.ids = {t[: -len(suffix)] + END if t.endswith(suffix) else t: i for t, i in ids.items()}
-        self.starts = {t[:n] for t in self.ids for n in range(1, len(t) + 1)}
+        self.tree: dict = {}  # symbols to subtrees; "" has the token that ends here
+        for t, i in self.ids.items():
+            node = self.tree
+            for symbol in t:
+                node = node.setdefault(symbol, {})
+            node[""] = i
         self.added = added
         self.specials = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
         library = Tokenizer.from_str(file)
@@ -124,7 +131,8 @@ class Encoder:
 
     def word(self, word: str) -> tuple[int, ...]:
         """Tokens of one pre-split word, given in the symbols of the file."""
-        text, ids, starts, auto = word + END, self.ids, self.starts, self.automaton
+        text, tree, auto = word + END, self.tree, self.automaton
+        table, width, into = auto.table, auto.width, auto.into
         n = len(text)
         state = [-1] * (n + 1)
         back: list[tuple[int, int]] = [(0, 0)] * (n + 1)
@@ -133,14 +141,17 @@ class Encoder:
             here = state[i]
             if here < 0:
                 continue
-            for j in range(i + 1, n + 1):
-                piece = text[i:j]
-                if piece not in starts:
+            node, row = tree, here * width
+            for j in range(i, n):
+                node = node.get(text[j])
+                if node is None:
                     break
-                token = ids.get(piece)
-                if token is not None and auto.arc(here, token):
-                    state[j] = auto.into[token]
-                    back[j] = (i, token)
+                token = node.get("")
+                if token is not None:
+                    follows = table.get(row + token)
+                    if follows or (follows is None and auto.arc(here, token)):
+                        state[j + 1] = into[token]
+                        back[j + 1] = (i, token)
         if state[n] < 0:
             raise ValueError(f"no token for a symbol of {word!r}")
         out = []
