@@ -29,6 +29,8 @@ from trajspark.llm.common import arrow_map, document_table
 from trajspark.llm.registry import query
 
 SAMPLE_DOCS = 300
+#: A language's ids are ranked in so many parts before the first of all parts are.
+SAMPLE_PARTS = 16
 #: Characters in all automata together, and in one.
 MODEL_CHARS = 400_000
 LANGUAGE_CHARS = 40_000
@@ -131,8 +133,12 @@ def training_words(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """(language, distinct words) pairs of the sample. What reaches the driver is bounded by the parameters above."""
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     labelled = labelled.filter("lang is not null and text is not null and doc_id is not null").filter(remainder("doc_id") != 1)
-    order = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-    drawn = labelled.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE_DOCS)
+    order = [F.md5(F.col("doc_id").cast("string")), F.col("doc_id")]
+    drawn = labelled.select("doc_id", "lang").withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_PARTS)))
+    for keys in (["lang", "_part"], ["lang"]):  # the first of each part, then the first of those
+        drawn = drawn.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= SAMPLE_DOCS)
+    # SAMPLE_DOCS small rows per language, and the languages are what the driver builds a model of: texts stay in place.
+    drawn = F.broadcast(drawn.drop("_part"))
     texts = labelled.join(drawn, ["doc_id", "lang"]).select("lang", "rank", F.substring(F.lower("text"), 1, LANGUAGE_CHARS).alias("text"))
     letters = F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), 1)
     words = texts.select("lang", "rank", F.posexplode(letters).alias("place", "word")).filter(F.length("word") <= LONG_WORD)
