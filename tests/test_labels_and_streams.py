@@ -157,6 +157,15 @@ def test_stream_similar_filter_equals_batch(spark, frames, tmp_path):
     assert got == {(r.episode_index, r.frame_index) for r in similar_filter(frames, "observation.state", 1.0).collect()}
 
 
+@pytest.mark.parametrize("extra", [{}, {"end": "is_last"}, {"horizon": 100}])
+def test_stream_similar_filter_remembers_steps(spark, frames, tmp_path, extra):
+    folder, stepped = str(tmp_path), frames.withColumn("step", F.col("frame_index") % 11)
+    stream = _stream(spark, stepped.select("episode_index", "frame_index", "step", "is_last", "`observation.state`"), folder, [7, 20])
+    out = _run(spark, ops.stream_similar_filter(stream, "observation.state", 0.5, step="step", **extra), folder)
+    want = similar_filter(stepped, "observation.state", 0.5, step="step")
+    assert {(r.episode_index, r.frame_index) for r in out.collect()} == {(r.episode_index, r.frame_index) for r in want.collect()}
+
+
 def test_bounded_queue_equals_simulation(frames, rows, blocks):
     log = frames.withColumn("up", F.col("reward") > 1)
     got = {(r.episode_index, r.frame_index): (r.depth, r.dropped) for r in ops.bounded_queue(log, 3, ["episode_index"], "frame_index", "up").collect()}

@@ -127,6 +127,20 @@ def test_similar_filter_compares_to_last_kept(frames, rows, blocks):
     assert got == want
 
 
+def test_similar_filter_drops_steps_kept_before(frames, rows, blocks):
+    stepped = frames.withColumn("step", F.col("frame_index") % 5)
+    got = {(r.episode_index, r.frame_index) for r in similar_filter(stepped, "observation.state", 0.7, step="step").collect()}
+    want = set()
+    for e, eps in by_episode(rows).items():
+        last, handled = None, set()
+        for r in eps:
+            if last is None or (r[1] % 5 not in handled and np.linalg.norm(np.array(r[5]) - last) >= 0.7):
+                want.add((e, r[1]))
+                last = np.array(r[5])
+                handled.add(r[1] % 5)
+    assert got == want
+
+
 def test_similar_filter_must_go(frames, blocks):
     kept = similar_filter(frames.withColumn("go", F.col("frame_index") % 3 == 0), "observation.state", 1e9, "go")
     assert all(r.frame_index % 3 == 0 for r in kept.collect())

@@ -133,10 +133,24 @@ def p14(spark, d):
     return plan.select("index", "shift_y", "shift_x", out.alias("shifted"))
 
 
-@query("W19_similar_filter")
+def repeated_step():
+    """Every seventh frame repeats the step four frames before it."""
+    return F.when(F.col("frame_index") % 7 == 6, F.col("frame_index") - 4).otherwise(F.col("frame_index"))
+
+
+#: A step is handled once a row of it is kept.
+SIMILAR = f"""WITH RECURSIVE {EVENTS}, q AS (SELECT e, f, v, k, CASE WHEN f % 7 = 6 THEN f - 4 ELSE f END AS s FROM fr),
+r(e, f, kept, lv, lk, done) AS (SELECT e, f, true, v, k, [s] FROM q WHERE f = 0
+ UNION ALL SELECT y.e, y.f, go, CASE WHEN go THEN v ELSE lv END, CASE WHEN go THEN k ELSE lk END, CASE WHEN go THEN list_append(done, s) ELSE done END
+ FROM (SELECT q.*, r.lv, r.lk, r.done, sqrt((q.v - r.lv) * (q.v - r.lv) + (q.k - r.lk) * (q.k - r.lk)) >= 25.0 AND NOT list_contains(r.done, q.s) AS go
+       FROM r JOIN q ON q.e = r.e AND q.f = r.f + 1) y)
+SELECT e AS episode_index, f AS frame_index FROM r WHERE kept"""
+
+
+@query("W19_similar_filter", SIMILAR)
 def w19(spark, d):
-    out = similar.similar_filter(frames_events(spark, d).frames, "observation.state", 25.0)
-    return out.select("episode_index", "frame_index")
+    frames = frames_events(spark, d).frames.withColumn("step", repeated_step())
+    return similar.similar_filter(frames, "observation.state", 25.0, step="step").select("episode_index", "frame_index")
 
 
 @query("P9_sample_transitions")

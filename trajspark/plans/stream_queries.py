@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trajspark.functions.columns import c
 from trajspark.operators import windows as w
+from trajspark.plans.catalog_queries import SIMILAR, repeated_step
 from trajspark.plans.registry import EVENTS, query
 from trajspark.plans.stats_queries import STATE, rounded
 from trajspark.plans.window_queries import DELTAS
@@ -70,11 +71,11 @@ def t2_limit(spark, d):
     return drain(spark, ops.stream_time_limit(stream, 40), folder)
 
 
-@query("T3_stream_similar_filter")
+@query("T3_stream_similar_filter", SIMILAR)
 def t3(spark, d):
-    frames = frames_events(spark, d).frames.select("episode_index", "frame_index", c("observation.state").alias("state"))
-    stream, folder = shards(spark, frames)
-    return drain(spark, ops.stream_similar_filter(stream, "state", 25.0), folder)
+    frames = frames_events(spark, d).frames.withColumn("step", repeated_step())
+    stream, folder = shards(spark, frames.select("episode_index", "frame_index", "step", "is_last", c("observation.state").alias("state")))
+    return drain(spark, ops.stream_similar_filter(stream, "state", 25.0, step="step", end="is_last"), folder)
 
 
 @query("T4_stream_merge_chunks", f"""WITH {EVENTS}, c AS (SELECT e, f, n, f // 3 AS arrival FROM fr WHERE f % 3 = 0 AND f + 6 <= n),

@@ -143,25 +143,52 @@ def stream_velocity(stream: DataFrame, state: str, dt: float, end: str = "is_las
 # ---------------------------------------------------------------- T3, T4
 
 
-def stream_similar_filter(stream: DataFrame, vector: str, atol: float, must_go: str | None = None) -> DataFrame:
-    """Drop observations closer than ``atol`` to the last kept one of their episode.
+def stream_similar_filter(
+    stream: DataFrame,
+    vector: str,
+    atol: float,
+    must_go: str | None = None,
+    step: str = FRAME,
+    end: str | None = None,
+    horizon: int | None = None,
+    timeout_ms: int | None = None,
+) -> DataFrame:
+    """Drop observations closer than ``atol`` to the last kept one of their episode, or of a step kept before.
 
     The rule is a chain, so an episode's rows of one micro-batch are handled in order by one task; the trigger bounds them.
+    The state holds the kept steps. It is removed after a row with ``end`` set, or ``timeout_ms`` after the last row; with
+    ``horizon`` steps more than that below the newest kept one are forgotten, and the state is bounded.
     """
     slim = stream.select(
-        EPISODE, FRAME, c(vector).cast("array<double>").alias("_v"), (c(must_go) if must_go else F.lit(False)).alias("_m")
+        EPISODE,
+        FRAME,
+        c(vector).cast("array<double>").alias("_v"),
+        (c(must_go) if must_go else F.lit(False)).alias("_m"),
+        c(step).cast("long").alias("_s"),
+        (F.coalesce(c(end), F.lit(False)) if end else F.lit(False)).alias("_end"),
     )
     schema = T.StructType([T.StructField(EPISODE, T.LongType()), T.StructField(FRAME, T.LongType())])
 
-    def step(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, last_step = _load(state, (None, None))
+    def run(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last, handled = _load(state, (None, set()))
         pdf = pd.concat(list(parts)).sort_values(FRAME)
-        steps = pdf[FRAME].to_numpy()
-        kept, last, last_step = keep_flags(np.stack(pdf["_v"].to_numpy()), steps, pdf["_m"].to_numpy(), last, last_step, atol)
-        _save(state, (last, last_step))
-        yield pd.DataFrame({EPISODE: group[0], FRAME: steps[kept]})
+        kept, last = keep_flags(np.stack(pdf["_v"].to_numpy()), pdf["_s"].to_numpy(), pdf["_m"].to_numpy(), last, handled, atol)
+        if pdf["_end"].any():
+            state.remove()
+        else:
+            if horizon is not None:
+                newest = max(handled)
+                handled = {s for s in handled if s >= newest - horizon}
+            _save(state, (last, handled))
+            if timeout_ms is not None:
+                state.setTimeoutDuration(timeout_ms)
+        yield pd.DataFrame({EPISODE: group[0], FRAME: pdf[FRAME].to_numpy()[kept]})
 
-    return slim.groupBy(EPISODE).applyInPandasWithState(step, schema, STATE, "append", GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.NoTimeout if timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    return slim.groupBy(EPISODE).applyInPandasWithState(run, schema, STATE, "append", timeout)
 
 
 def stream_merge_chunks(stream: DataFrame, fn: str = "weighted_average", latest: str = "latest") -> DataFrame:
