@@ -91,6 +91,32 @@ def j8(spark, d):
     return out.select("dataset_index", "episode_index", "frame_index", "task")
 
 
+@query("U2_common_columns", f"""WITH x AS (SELECT 0 AS dataset_index, * FROM (WITH {EVENTS} SELECT e, f, i, task_index, task, n, t FROM fr)
+ UNION ALL SELECT 1, * FROM (WITH {CONV} SELECT e, f, i, task_index, task, n, CAST(f AS DOUBLE) FROM fr))
+SELECT dataset_index, name, count(CASE name WHEN 'timestamp' THEN CAST(t AS VARCHAR) WHEN 'task' THEN task WHEN 'task_index' THEN CAST(task_index AS VARCHAR) ELSE CAST(i AS VARCHAR) END) AS "values"
+FROM x CROSS JOIN (VALUES ('timestamp'), ('frame_index'), ('episode_index'), ('index'), ('task_index'), ('task'), ('episode_length')) c(name) GROUP BY dataset_index, name""")
+def u2(spark, d):
+    out = j.common_columns_union([frames_events(spark, d).frames, frames_conv(spark, d).frames])
+    names = [n for n in out.columns if n != "dataset_index"]
+    counts = out.groupBy("dataset_index").agg(*[F.count(c(n)).alias(n) for n in names])
+    return counts.unpivot("dataset_index", names, "name", "values")
+
+
+@query("B14_compat", """WITH u AS (SELECT event_type, user_id, count(*) AS n FROM events GROUP BY ALL),
+s AS (SELECT row_number() OVER (ORDER BY event_type) - 1 AS i, max(n) AS fps, chr(39) || 'arm-' || count(*) % 2 || chr(39) AS robot, count(*) AS width FROM u GROUP BY event_type)
+SELECT problem FROM (SELECT unnest([
+ CASE WHEN b.fps <> a.fps THEN 'dataset ' || b.i || ': fps is ' || b.fps || ', expected ' || a.fps END,
+ CASE WHEN b.robot <> a.robot THEN 'dataset ' || b.i || ': robot_type is ' || b.robot || ', expected ' || a.robot END,
+ CASE WHEN b.width <> a.width THEN 'dataset ' || b.i || ': features differ' END]) AS problem
+FROM s a JOIN s b ON a.i = 0 AND b.i > 0) WHERE problem IS NOT NULL""")
+def b14(spark, d):
+    """One data set per event type; most events of a user stand for its rate, its users for the kind and width."""
+    per_user = table(spark, d, "events").groupBy("event_type", "user_id").count()
+    found = per_user.groupBy("event_type").agg(F.max("count").alias("fps"), F.count(F.lit(1)).alias("users")).sort("event_type").collect()
+    specs = [{"fps": r.fps, "robot_type": f"arm-{r.users % 2}", "features": {"users": {"dtype": "int64", "shape": (r.users,), "info": r.event_type}}} for r in found]
+    return spark.createDataFrame([(p,) for p in b.compat_problems(specs)], "problem string")
+
+
 @query("J9_missing_units", "SELECT o_orderkey AS unit FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def j9(spark, d):
     expected = table(spark, d, "orders").select(F.col("o_orderkey").alias("unit"))

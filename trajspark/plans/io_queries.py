@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from trajspark.functions.columns import c
@@ -99,3 +101,40 @@ def t5(spark, d):
     episodes = io.read_episodes(spark, root).filter("source_key IS NOT NULL").select("episode_index", F.col("source_key").alias("user_id"))
     frames = io.read_dataset(spark, root).frames.join(episodes, "episode_index")
     return frames.select("user_id", "frame_index", c("next.reward").alias("reward"))
+
+
+def older_layout(spark, d) -> str:
+    """Event episodes in the older layout: one folder of frames per episode and JSON-lines metadata."""
+    ds, root = frames_events(spark, d), scratch(spark)
+    name = F.format_string("episode_%06d", "episode_index")
+    ds.frames.drop("task", "episode_length", "index").withColumn("part", name).repartition("part").write.partitionBy("part").parquet(f"{root}/data")
+    used = ds.frames.groupBy("episode_index").agg(F.sort_array(F.collect_set("task")).alias("tasks"), F.count(F.lit(1)).alias("length"))
+    used.write.json(f"{root}/meta/episodes.jsonl")
+    names = ["min", "max", "mean", "std", "count"]
+    rows = s.episode_stats(ds.frames, STATE).groupBy("episode_index", "feature").agg(F.sort_array(F.collect_list(F.struct("dim", *names))).alias("_x"))
+    arrays = F.struct(*[F.col(f"_x.{n}").alias(n) for n in names])
+    stats = rows.groupBy("episode_index").agg(F.map_from_entries(F.collect_list(F.struct("feature", arrays))).alias("stats"))
+    stats.write.json(f"{root}/meta/episodes_stats.jsonl")
+    ds.tasks.write.json(f"{root}/meta/tasks.jsonl")
+    io._write_text(spark, f"{root}/meta/info.json", json.dumps({"codebase_version": "v2.1", "fps": 10.0, "total_chunks": 1, "features": STATE}))
+    return root
+
+
+@query("A8_read_legacy", f"WITH {EVENTS} SELECT e AS episode_index, f AS frame_index, task_index, v AS reward, k FROM fr")
+def a8(spark, d):
+    frames = io.read_legacy(spark, older_layout(spark, d)).frames
+    at = F.col("_file_episode").alias("episode_index")
+    return frames.select(at, "frame_index", "task_index", c("next.reward").alias("reward"), c("observation.state")[1].alias("k"))
+
+
+@query("D7_convert_legacy", f'WITH {EVENTS} SELECT e AS episode_index, f AS frame_index, i AS "index", task_index, v AS reward, k FROM fr')
+def d7(spark, d):
+    frames = io.convert_legacy(spark, older_layout(spark, d), scratch(spark), max_mb=0.5).frames
+    return frames.select("episode_index", "frame_index", "index", "task_index", c("next.reward").alias("reward"), c("observation.state")[1].alias("k"))
+
+
+@query("D7_converted_stats", f"""WITH {EVENTS}, x AS (SELECT 0 AS dim, v AS x FROM fr UNION ALL SELECT 1, k FROM fr)
+SELECT 'observation.state' AS feature, dim, round(min(x), 5) AS "min", round(max(x), 5) AS "max", round(avg(x), 5) AS mean, round(stddev_pop(x), 5) AS std, count(*) AS "count" FROM x GROUP BY dim""")
+def d7_stats(spark, d):
+    out = io.convert_legacy(spark, older_layout(spark, d), scratch(spark), max_mb=0.5).stats
+    return rounded(out.select("feature", "dim", "min", "max", "mean", "std", "count"), 5)
