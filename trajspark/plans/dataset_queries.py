@@ -11,7 +11,7 @@ from trajspark.operators import packing as k
 from trajspark.operators import schema as b
 from trajspark.operators import stats as s
 from trajspark.plans.registry import CONV, EVENTS, LINES, query
-from trajspark.plans.stats_queries import ACTION, STATE, images
+from trajspark.plans.stats_queries import ACTION, STATE, combined_sql, images, long_events, rounded
 from trajspark.sources.adapters import frames_conv, frames_events, frames_lineitem, table
 
 KEYS = ["episode_index", "frame_index", "index", "task_index"]
@@ -328,11 +328,11 @@ def d1_tasks(spark, d):
     return a.delete_episodes(frames_lineitem(spark, d), [0, 1, 2, 3]).tasks
 
 
-@query("D1_S5_deleted_stats")
+@query("D1_S5_deleted_stats", combined_sql(EVENTS, f"SELECT * FROM ({long_events()}) WHERE episode_index NOT IN (0, 4, 9)"))
 def d1_stats(spark, d):
     ds = frames_events(spark, d)
     ds = ds.with_(episode_stats=s.episode_stats(ds.frames, STATE))
-    return a.delete_episodes(ds, [0, 4, 9]).stats
+    return rounded(a.delete_episodes(ds, [0, 4, 9]).stats, 5, mean=8)
 
 
 @query("D2_split", f"""WITH {EVENTS}, n AS (SELECT max(e) + 1 AS total FROM fr), ep AS (SELECT DISTINCT e, n FROM fr),
@@ -381,12 +381,17 @@ def d6(spark, d):
     return a.append_episodes(frames_events(spark, d), rows, "conv_id", ["turn"]).frames.select("episode_index", "frame_index", "index")
 
 
-@query("D6_appended_stats")
+APPENDED = f"""SELECT * FROM (WITH {EVENTS} {long_events()})
+UNION ALL SELECT l.e + (SELECT count(DISTINCT user_id) FROM events), 0, CAST(l.a0 AS DOUBLE) FROM (WITH {LINES} SELECT e, a0 FROM fr) l
+UNION ALL SELECT l.e + (SELECT count(DISTINCT user_id) FROM events), 1, CAST(l.a3 AS DOUBLE) FROM (WITH {LINES} SELECT e, a3 FROM fr) l"""
+
+
+@query("D6_appended_stats", combined_sql("z AS (SELECT 1)", APPENDED))
 def d6_stats(spark, d):
     ds = frames_events(spark, d)
     ds = ds.with_(episode_stats=s.episode_stats(ds.frames, STATE))
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_shipdate", "l_linenumber", F.col("l_returnflag").alias("task"), F.array("l_quantity", "l_tax").alias("observation.state"))
-    return a.append_episodes(ds, rows, "l_orderkey", ["l_shipdate", "l_linenumber"], STATE).stats
+    return a.append_episodes(ds, rows, "l_orderkey", ["l_shipdate", "l_linenumber"], STATE).stats.transform(rounded, 5, mean=8)
 
 
 @query("D8_merge_shards", """WITH sh AS (SELECT l_suppkey, count(*) AS fr, count(DISTINCT l_orderkey) AS ep, count(*) // 100 + 1 AS fi FROM lineitem GROUP BY l_suppkey),

@@ -54,6 +54,16 @@ SELECT {feat}{", ".join("m." + x for x in keys)}, round(m.mn, {digits}) AS "min"
 FROM m {joins}"""
 
 
+def combined_sql(ctes: str, source: str) -> str:
+    """Per-episode histogram statistics of a long relation combined to one row per dimension, rounded to 5 digits (mean 8)."""
+    qs = ", ".join(f"round(sum(n * {q}) / sum(n), 5) AS {q}" for q in QS)
+    return f"""WITH p AS (SELECT *, "count" AS n FROM ({histogram_sql(ctes, source, ["episode_index", "dim"], 13)}) h),
+t AS (SELECT dim, sum(n * mean) / sum(n) AS mm FROM p GROUP BY dim)
+SELECT 'observation.state' AS feature, p.dim, round(min("min"), 5) AS "min", round(max("max"), 5) AS "max", round(sum(n * mean) / sum(n), 8) AS mean,
+ round(sqrt(sum(n * (std * std + (mean - mm) * (mean - mm))) / sum(n)), 5) AS std, CAST(sum(n) AS BIGINT) AS "count", {qs}
+FROM p JOIN t ON t.dim = p.dim GROUP BY p.dim"""
+
+
 @query("S1_S2_episode_stats", histogram_sql(EVENTS, long_events(), ["episode_index", "dim"], 5, mean=8))
 def episode_stats(spark, d):
     out = s.episode_stats(frames_events(spark, d).frames, STATE)
@@ -108,7 +118,7 @@ def combine(spark, d):
     return rounded(s.combine_stats(parts), 5)
 
 
-@query("S10_augment_quantiles")
+@query("S10_augment_quantiles", combined_sql(EVENTS, long_events()))
 def augment(spark, d):
     return rounded(s.augment_quantiles(frames_events(spark, d).frames, STATE, None), 5, mean=8)
 
