@@ -1,9 +1,11 @@
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from trajspark.operators import windows as w
-from trajspark.operators.layout import positions, running
+from trajspark.operators.layout import positions, running, shared_folder
 from trajspark.operators.similar import similar_filter
 
 
@@ -195,3 +197,14 @@ def test_last_split_that_rounds_to_nothing_is_skipped():
 
     assert list(split_plan(10, {"train": 0.5, "val": 0.05})) == ["train"]
     assert split_plan(10, {"train": 0.5, "val": 0.2})["val"] == range(5, 10)
+
+
+def test_cluster_needs_a_shared_folder():
+    def session(master, named=None):
+        conf = SimpleNamespace(get=lambda key, default: named)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("spark://host:7077", "hdfs://store/cp/")) == "hdfs://store/cp"
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session(master))

@@ -17,7 +17,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trajspark.functions.columns import block_of, c
@@ -196,13 +196,21 @@ def dictionary_join(
     return rows.withColumn("_salt", salt).join(salted, [*keys, "_salt"], how).drop("_salt")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``. Only a local session, as in tests, may go without and gets a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="trajspark-")
+
+
 def set_checkpoint_dir(df: DataFrame) -> None:
-    """Use the checkpoint folder the session names; only where none is set, as in tests, take a temporary one."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="trajspark-"))
+    """Checkpoint to the shared folder, unless the session has a checkpoint folder already."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
 
 
 def positions(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trajspark.functions.columns import c
 from trajspark.operators import windows as w
+from trajspark.operators.layout import shared_folder
 from trajspark.plans.catalog_queries import SIMILAR, repeated_step
 from trajspark.plans.registry import EVENTS, query
 from trajspark.plans.stats_queries import STATE, rounded
@@ -19,9 +19,8 @@ from trajspark.streaming import ops
 
 
 def scratch(spark) -> str:
-    """A new folder under the shared checkpoint folder of the session, or a temporary one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{base}/trajspark-{uuid.uuid4().hex}" if base else tempfile.mkdtemp(prefix="trajspark-")
+    """A new folder under the folder all executors share."""
+    return f"{shared_folder(spark)}/trajspark-{uuid.uuid4().hex}"
 
 
 def shards(spark, frames: DataFrame, order: str = "frame_index", n: int = 3) -> tuple[DataFrame, str]:
