@@ -11,7 +11,7 @@ from trajspark.operators import numeric as n
 from trajspark.operators import stats as s
 from trajspark.operators import windows as w
 from trajspark.plans.registry import CONV, EVENTS, LINES, query
-from trajspark.plans.stats_queries import ACTION, STATE
+from trajspark.plans.stats_queries import ACTION, STATE, histogram_sql, long_events
 from trajspark.sources.adapters import frames_conv, frames_events, frames_lineitem, table
 
 IDS = "e AS episode_index, f AS frame_index"
@@ -309,9 +309,14 @@ def tokenizer_windows(spark, d):
     return out.select(*BOTH, F.posexplode("chunk").alias("pos", "_r")).select(*BOTH, "pos", F.round(F.col("_r")[0], 6).alias("x"))
 
 
-@query("N1_normalize_state_quantiles")
+WHOLE = histogram_sql(EVENTS, long_events("0 AS z"), ["dim"], 13)
+
+
+@query("N1_normalize_state_quantiles", f"""WITH {EVENTS}, q AS ({WHOLE})
+SELECT e AS episode_index, f AS frame_index, round(2 * (v - a.q01) / (a.q99 - a.q01) - 1, 5) AS s0, round(2 * (k - b.q01) / (b.q99 - b.q01) - 1, 5) AS s1
+FROM fr JOIN q a ON a.dim = 0 JOIN q b ON b.dim = 1""")
 def n1_quantiles(spark, d):
     frames = frames_events(spark, d).frames
     stats = n.stats_literals(s.dataset_quantiles(frames, STATE))
     out = n.normalize(frames, STATE, stats, {"STATE": "QUANTILES"})
-    return out.select(*BOTH, c("observation.state")[0].alias("s0"), c("observation.state")[1].alias("s1"))
+    return out.select(*BOTH, *[F.round(c("observation.state")[i], 5).alias(f"s{i}") for i in (0, 1)])
