@@ -43,6 +43,21 @@ def drain(spark, stream: DataFrame, folder: str, mode: str = "append") -> DataFr
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def drain_updates(spark, stream: DataFrame, folder: str, keys: list[str]) -> DataFrame:
+    """Run a stream to its end in update mode and read the last row of each key: what is still open at the end is there too."""
+    out = f"{folder}/updates"
+
+    def keep(batch, number):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    q = stream.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{folder}/cp-updates").trigger(availableNow=True).start()
+    q.awaitTermination()
+    rows = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
+    values = [n for n in stream.columns if n not in keys]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_r"))
+    return latest.select(*keys, *[F.col(f"_r.{n}").alias(n) for n in values])
+
+
 @query("T1_stream_delta_window", f"""WITH {EVENTS}, d(pos, o) AS (VALUES (0, -2), (1, 0), (2, 3))
 SELECT a.e AS episode_index, a.f AS frame_index, d.pos, b.v AS value, (a.f + d.o < 0 OR a.f + d.o >= a.n) AS is_pad
 FROM fr a CROSS JOIN d JOIN fr b ON b.e = a.e AND b.f = greatest(0, least(a.n - 1, a.f + d.o))""")
@@ -134,6 +149,16 @@ def t7_fps(spark, d):
     return out.select(day.alias("day"), "user_id", "n", F.round("avg_fps", 9).alias("avg_fps"))
 
 
+@query("T7_stream_fps_all_days", """WITH w AS (SELECT date_trunc('day', ts) AS d, user_id, count(*) AS n, date_diff('microsecond', min(ts), max(ts)) / 1e6 AS s FROM events GROUP BY 1, 2)
+SELECT CAST(date_diff('day', TIMESTAMP '2024-01-01', d) AS INTEGER) AS day, user_id, n, round(CASE WHEN s > 1e-6 THEN (n - 1) / s ELSE 0 END, 9) AS avg_fps FROM w""")
+def t7_fps_all(spark, d):
+    events = table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    stream, folder = shards(spark, events, "ts")
+    out = drain_updates(spark, ops.stream_fps(stream, ["user_id"], "ts", "1 day", "1 hour"), folder, ["window_start", "user_id"])
+    day = F.datediff(F.col("window_start").cast("date"), F.lit("2024-01-01").cast("date"))
+    return out.select(day.alias("day"), "user_id", "n", F.round("avg_fps", 9).alias("avg_fps"))
+
+
 @query("T8_bounded_queue", f"""WITH RECURSIVE {EVENTS}, q AS (SELECT e, f, task <> 'click' AND task <> 'view' AS up FROM fr),
 r(e, f, depth, dropped) AS (SELECT e, f, CASE WHEN up THEN 1 ELSE 0 END, false FROM q WHERE f = 0
  UNION ALL SELECT q.e, q.f, CASE WHEN up THEN least(4, depth + 1) ELSE greatest(0, depth - 1) END, up AND depth = 4 FROM r JOIN q ON q.e = r.e AND q.f = r.f + 1)

@@ -344,7 +344,10 @@ def stream_rollout_returns(stream: DataFrame) -> DataFrame:
 
 
 def stream_fps(stream: DataFrame, keys: Sequence[str], ts: str, window: str, lateness: str) -> DataFrame:
-    """Observed rate per key and event-time window; the watermark is ours, so the delay is an argument."""
+    """Observed rate per key and event-time window; the watermark is ours, so the delay is an argument.
+
+    In append mode the newest windows never close at the end of input; update mode gives them too, the last row counts.
+    """
     windowed = stream.withWatermark(ts, lateness).groupBy(F.window(c(ts), window), *[c(k) for k in keys])
     span = F.max(F.unix_micros(c(ts))) - F.min(F.unix_micros(c(ts)))
     out = windowed.agg(F.count(F.lit(1)).alias("n"), (span / 1e6).alias("_span"))
