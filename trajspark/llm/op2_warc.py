@@ -33,9 +33,10 @@ from trajspark.llm.registry import query
 REVISIT_BYTES = 1000
 #: Uncompressed bytes of records per archive; a longer record makes a longer archive.
 ARCHIVE_BYTES = 16 << 20
-#: Size of a dictionary, and the bytes of records it is built from: every k-th record of the archive up to this sum.
+#: Size of a dictionary, and the most bytes it is built from: evenly spaced pieces of the archive's records.
 DICT_BYTES = 64 << 10
 SAMPLE_BYTES = 1 << 20
+PIECE_BYTES = 4 << 10
 LEVEL = 3
 #: Fixed values of the format: the skippable frame that holds a dictionary, the revisit profile, a date for records.
 DICT_FRAME = 0x184D2A5D
@@ -64,13 +65,26 @@ def _record(page_id, url: str | None, payload: bytes | None, size: int, sha1: st
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def _dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict | None:
-    """A dictionary from evenly spaced records; none where there is too little to learn from."""
+def _samples(records: list[bytes]) -> list[bytes]:
+    """Pieces of records, spread evenly over the bytes of the archive, SAMPLE_BYTES at most."""
     total = sum(map(len, records))
-    every = max(1, -(-total // SAMPLE_BYTES))
-    samples = records[::every]
+    step = max(1, min(PIECE_BYTES, total // 64))
+    samples, passed, taken = [], 0, 0
+    for record in records:
+        for at in range(0, len(record), step):
+            size = min(step, len(record) - at)
+            passed += size
+            if (taken + size) * total <= passed * min(total, SAMPLE_BYTES):
+                samples.append(record[at : at + size])
+                taken += size
+    return samples
+
+
+def _dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict | None:
+    """A dictionary from pieces of the records; none for archives below 8 kB, or where nothing is common."""
+    samples = _samples(records)
     size = min(DICT_BYTES, sum(map(len, samples)) // 8)
-    if len(samples) < 8 or size < 1024:
+    if size < 1024:
         return None
     try:
         return zstandard.train_dictionary(size, samples, k=512, d=8)
