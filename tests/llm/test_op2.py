@@ -6,6 +6,7 @@ import random
 import pytest
 
 from trajspark.llm import op2_warc as op
+from trajspark.llm.common import new_path
 
 
 def page(rng, size):
@@ -27,3 +28,23 @@ def test_large_pages_have_a_dictionary(tmp_path, count, size):
     blocks = [block for _, block in op.records_of(io.BytesIO(raw))]
     assert len(blocks) == count and all(r.endswith(b + b"\r\n\r\n") for r, b in zip(records, blocks, strict=True))
     assert sum(map(len, op._samples(records))) <= op.SAMPLE_BYTES
+
+
+def test_small_payload_that_many_pages_share(spark):
+    rows = [(i, f"http://h/{i}", None if i % 2 else "<p>not found") for i in range(4000)]
+    rows += [(4000 + i, "u", f"{i % 3}" * 2000) for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        folder = new_path(spark, "warc")
+        manifest = op.write_archives(pages, folder)
+        records = [r["records"] for r in manifest.collect()]
+        kinds = [r["record_type"] for r in op.read_archives(manifest, folder).select("record_type").collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(records) == len(rows) and max(records) < 1500
+    assert kinds.count("revisit") == 3

@@ -196,7 +196,10 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url:
     keyed = rows.select("page_id", F.sha2("payload", 256).alias("key"), size.alias("size")).filter(F.col("size") >= REVISIT_BYTES)
     groups = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("first")).filter("n > 1")
     groups = stored(groups, "warc-groups")
-    rows = rows.withColumns({"size": size, "sha1": F.sha1("payload"), "key": F.sha2("payload", 256)})
+    # Payloads below REVISIT_BYTES are in no group, so their keys only spread the rows.
+    alone = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))
+    key = F.when(size >= REVISIT_BYTES, F.sha2("payload", 256)).otherwise(alone)
+    rows = rows.withColumns({"size": size, "sha1": F.sha1("payload"), "key": key})
     joined = shared_join(rows, groups, ["key"], "n", ["page_id", "url"])
     refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     records = joined.withColumn("refers_to", refers)
