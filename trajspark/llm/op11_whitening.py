@@ -10,8 +10,8 @@ squared column norms are the eigenvalues of A and the normalised columns its eig
 precision; the model is sent to the tasks, which project their rows.
 
 Defined results. Vectors that are null or hold null or non-finite entries are dropped, and so are vectors of another length
-than most of the remaining rows have (of equally frequent lengths the longest counts). Components without variance are not
-returned: equal vectors, or a single one, give no rows. ``deviation`` is null where it has more than 38 digits, in the query
+than most of the remaining rows have (of equally frequent lengths the longest counts). Components without variance, or
+with less than rounding leaves of the largest variance, are not returned: equal vectors, or a single one, give no rows. ``deviation`` is null where it has more than 38 digits, in the query
 where it exceeds a long. Repeated rows each get their rows; null ids stay; other columns are not read.
 """
 
@@ -34,6 +34,8 @@ COMPONENTS = 4
 #: Largest whole number below which doubles are exact.
 EXACT = 1 << 53
 LONG = (1 << 63) - 1
+#: Sums too long for a decimal travel as multiples of this and a rest.
+LIMB = 10**18
 
 
 @dataclass
@@ -74,8 +76,8 @@ def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.T.astype(object) @ b.astype(object)
 
 
-def _totals(df: DataFrame, fn, names: list[str]) -> list:
-    """Sum of ``fn(x matrix)``, a dict of keys to whole numbers, per key."""
+def _totals(df: DataFrame, fn, names: list[str]) -> list[tuple]:
+    """Sum of ``fn(x matrix)``, an array of whole numbers, as (place, total) rows; totals travel as two limbs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -85,11 +87,13 @@ def _totals(df: DataFrame, fn, names: list[str]) -> list:
                 held = part if held is None else held + part
         if held is not None:
             places = np.indices(held.shape).reshape(held.ndim, -1)
-            digits = pa.array([str(v) for v in held.ravel()], pa.string())
-            yield pa.RecordBatch.from_arrays([*(pa.array(p.astype(np.int32)) for p in places), digits], [*names, "digits"])
+            limbs = zip(*(divmod(int(v), LIMB) for v in held.ravel()), strict=True)
+            digits = [pa.array(map(str, limb), pa.string()) for limb in limbs]
+            yield pa.RecordBatch.from_arrays([*(pa.array(p.astype(np.int32)) for p in places), *digits], [*names, "high", "low"])
 
-    parts = arrow_map(df.select("x"), run, ", ".join(f"{n} int" for n in names) + ", digits string")
-    return parts.groupBy(*names).agg(F.sum(F.col("digits").cast("decimal(38,0)")).alias("total")).collect()
+    parts = arrow_map(df.select("x"), run, ", ".join(f"{n} int" for n in names) + ", high string, low string")
+    limbs = [F.sum(F.col(limb).cast("decimal(38,0)")).alias(limb) for limb in ("high", "low")]
+    return [(*(r[n] for n in names), int(r["high"]) * LIMB + int(r["low"])) for r in parts.groupBy(*names).agg(*limbs).collect()]
 
 
 def _long_double(x: Fraction) -> np.longdouble:
@@ -165,7 +169,7 @@ def _sums(x: np.ndarray) -> np.ndarray:
 def fit(distinct: DataFrame) -> Whitening:
     """The model of a fit list (column x, distinct, all of one length)."""
     n = distinct.count()
-    sums = [int(r["total"]) for r in sorted(_totals(distinct, _sums, ["i"]), key=lambda r: r["i"])]
+    sums = [total for _, total in sorted(_totals(distinct, _sums, ["i"]))]
     d = len(sums)
     # Halves of the rounding are below one unit; round() of a Fraction is exact.
     middle = [round(Fraction(s, n)) for s in sums]
@@ -178,9 +182,8 @@ def fit(distinct: DataFrame) -> Whitening:
     scatter = np.zeros((d, d), dtype=np.longdouble)
     trace = Fraction(0)
     rest = [Fraction(s, n) - int(m) for s, m in zip(sums, shift, strict=True)]
-    for r in _totals(distinct, products, ["i", "j"]):
-        i, j = r["i"], r["j"]
-        value = int(r["total"]) - n * rest[i] * rest[j]
+    for i, j, total in _totals(distinct, products, ["i", "j"]):
+        value = total - n * rest[i] * rest[j]
         scatter[i, j] = _signed(value)
         trace += value if i == j else 0
     turned = jacobi_columns(pivoted_cholesky(scatter))
