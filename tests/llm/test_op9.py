@@ -39,6 +39,19 @@ def test_equal_to_library(library, encoder):
         assert encoder.decode(want) == library.decode(want, skip_special_tokens=False), t
 
 
+def test_chunks(library, encoder):
+    """Blanks next to marks, apostrophes, other white space and special tokens."""
+    odd = ["'s", "it's", "I' m", "\u0301a", "a\u0301", "e \u0301", "\u00a0", "a\u00a0b", "\u2028", "x\u2028y", "<|endoftext|>", "<|startoftext|>b", "ΟΔΟΣ", "Σ", "\u1100", "\u1161", "\x85", "\x1c", "a\nb", "\r\n", "\t", "", " ", "é", "ﬁ", "!!", "12a"]
+    odd += [chr(c) for c in range(0x80, 0x250)]
+    rng = random.Random(9)
+    for _ in range(12000):
+        t = rng.choice(["", " "]).join(rng.choice(odd) for _ in range(rng.randint(1, 6)))
+        want = library.encode(t, add_special_tokens=False).ids
+        assert encoder.encode(t) == want, repr(t)
+        assert " ".join(c[1] for c in encoder.read(t)) == " ".join(map(str, want))
+        assert " ".join(c[2] for c in encoder.read(t)) == library.decode(want, skip_special_tokens=False)
+
+
 def test_query(spark, library):
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     want = set()

@@ -7,8 +7,10 @@ a token enter one state, so a state is split only when other tokens share it. Sp
 and lost arcs with their time, which makes compiling linear in the number of merges; whether a state has an arc is looked
 up through the versions once and then stands in the transition table.
 
-A word is read by following arcs from every position reached; since every prefix of a word has one encoding, a position is
-reached in one state only. Decoding emits the labels of the arcs.
+A word is read by following arcs, the longest first; since every prefix of a word has one encoding, a position is reached
+in one state only, and one that leads nowhere is left for good. Decoding emits the labels of the arcs. Words, and in texts
+of other scripts what lies between white space, are read once per task and then known with their tokens and labels, in
+tables of bounded size.
 
 Defined results. Null text encodes like the empty text: no tokens, empty decoded text. Special tokens of the file are
 recognised in texts. Repeated rows each get their row; empty tables give empty results; other columns are not read.
@@ -19,8 +21,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,14 +33,21 @@ from pyspark.sql import functions as F
 from trajspark.llm.common import arrow_map, document_table
 from trajspark.llm.registry import query
 
-#: Words longer than this are not kept in a task's word table, which starts anew at WORDS entries.
+#: Words and chunks longer than this are not kept in a task's tables, which start anew at WORDS entries each.
 LONG_WORD = 64
 WORDS = 400_000
 #: Stands for the word-end mark inside symbol strings, so that every mark is one character.
 END = "\ue000"
-#: Text the plain splitter may read: printable ASCII and white space.
-PLAIN = re.compile(r"[\t-\r -~]*")
-PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+#: Text the plain splitter may read: ASCII without its separators, and Latin letters and signs up to U+017F without U+0130.
+#: There, normalisation is the identity, lower case is letter by letter, and the classes of the split pattern are these.
+PLAIN = re.compile(r"[\t-\r -~\xa1-\u012f\u0131-\u017f]*")
+LATIN = r"a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
+NUMBER = r"0-9\xb2\xb3\xb9\xbc-\xbe"
+PLAIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}]+|[{NUMBER}]|[^\t-\r {LATIN}{NUMBER}]+")
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_SYMBOLS = {b: chr(b) for b in PRINTABLE} | {b: chr(0x100 + k) for k, b in enumerate(b for b in range(0x100) if b not in PRINTABLE)}
+#: Python takes these for white space, the split pattern does not.
+SEPARATOR = re.compile("[\x1c-\x1f]")
 
 
 class Automaton:
@@ -97,6 +108,31 @@ class Automaton:
         return found
 
 
+#: Tokens, their numbers and their labels, both joined by blanks.
+Read = tuple[tuple[int, ...], str, str]
+
+
+def symbols(word: str) -> str:
+    """A word in the byte symbols of the file: printable bytes of Latin-1 stand for themselves, the others follow U+0100."""
+    return "".join(map(BYTE_SYMBOLS.__getitem__, word.encode()))
+
+
+class Known(dict):
+    """What was read, by text. Neither normalisation nor the split pattern reaches across white space."""
+
+    def __init__(self, make: Callable[[str], Read]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, text: str) -> Read:
+        got = self.make(text)
+        if len(text) <= LONG_WORD:
+            if len(self) >= WORDS:
+                self.clear()
+            self[text] = got
+        return got
+
+
 class Encoder:
     """Encoder and decoder of one vocabulary file."""
 
@@ -117,75 +153,89 @@ class Encoder:
         base = [i for t, i in ids.items() if t not in results]
         self.automaton = Automaton(max(self.labels) + 1, base, [(ids[a], ids[b], ids[a + b]) for a, b in pairs])
         self.ids = {t[: -len(suffix)] + END if t.endswith(suffix) else t: i for t, i in ids.items()}
-        self.tree: dict = {}  # symbols to subtrees; "" has the token that ends here
+        self.tree: dict = {}  # symbol to [token that ends here or -1, subtree]
         for t, i in self.ids.items():
-            node = self.tree
+            below = self.tree
             for symbol in t:
-                node = node.setdefault(symbol, {})
-            node[""] = i
+                node = below.setdefault(symbol, [-1, {}])
+                below = node[1]
+            node[0] = i
         self.added = added
         self.specials = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
         library = Tokenizer.from_str(file)
         self.normal, self.split = library.normalizer, library.pre_tokenizer
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words, self.chunks = Known(self._word), Known(self._chunk)
 
     def word(self, word: str) -> tuple[int, ...]:
-        """Tokens of one pre-split word, given in the symbols of the file."""
+        """Tokens of one pre-split word, given in the symbols of the file: the only path of the automaton that reads it.
+
+        Longest arcs are tried first; a position is reached in one state only, so one that leads nowhere is not tried again.
+        """
         text, tree, auto = word + END, self.tree, self.automaton
         table, width, into = auto.table, auto.width, auto.into
-        n = len(text)
-        state = [-1] * (n + 1)
-        back: list[tuple[int, int]] = [(0, 0)] * (n + 1)
-        state[0] = 0
-        for i in range(n):
-            here = state[i]
-            if here < 0:
-                continue
-            node, row = tree, here * width
+        n, i, here = len(text), 0, 0
+        out: list[int] = []
+        trail: list[tuple[int, int, list]] = []
+        dead: set[int] = set()
+        while True:
+            arcs, below = [], tree
             for j in range(i, n):
-                node = node.get(text[j])
+                node = below.get(text[j])
                 if node is None:
                     break
-                token = node.get("")
-                if token is not None:
-                    follows = table.get(row + token)
+                token, below = node
+                if token >= 0:
+                    arcs.append((j + 1, token))
+            while True:
+                if arcs:
+                    j, token = arcs.pop()
+                    if j in dead:
+                        continue
+                    follows = table.get(here * width + token)
                     if follows or (follows is None and auto.arc(here, token)):
-                        state[j + 1] = into[token]
-                        back[j + 1] = (i, token)
-        if state[n] < 0:
-            raise ValueError(f"no token for a symbol of {word!r}")
-        out = []
-        while n:
-            n, token = back[n]
+                        break
+                elif trail:
+                    dead.add(i)
+                    out.pop()
+                    i, here, arcs = trail.pop()
+                else:
+                    raise ValueError(f"no token for a symbol of {word!r}")
             out.append(token)
-        return tuple(reversed(out))
-
-    def _segment(self, text: str, out: list[int]) -> None:
-        if text.isascii() and PLAIN.fullmatch(text):
-            words = PLAIN_WORDS.findall(text.lower())
-        else:
-            words = [w for w, _ in self.split.pre_tokenize_str(self.normal.normalize_str(text))]
-        known = self.words
-        for w in words:
-            got = known.get(w)
-            if got is None:
-                got = self.word(w)
-                if len(w) <= LONG_WORD:
-                    if len(known) >= WORDS:
-                        known.clear()
-                    known[w] = got
-            out.extend(got)
-
-    def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
+            if j == n:
+                return tuple(out)
+            trail.append((i, here, arcs))
+            i, here = j, into[token]
+
+    def _word(self, word: str) -> Read:
+        return self._emitted(self.word(word if word.isascii() else symbols(word)))
+
+    def _chunk(self, text: str) -> Read:
+        if PLAIN.fullmatch(text):
+            return self._emitted(tuple(chain.from_iterable(self.words[w][0] for w in PLAIN_WORDS.findall(text.lower()))))
+        words = self.split.pre_tokenize_str(self.normal.normalize_str(text))
+        return self._emitted(tuple(chain.from_iterable(self.word(w) for w, _ in words)))
+
+    def _emitted(self, ids: tuple[int, ...]) -> Read:
+        return ids, " ".join(map(self.numbers.__getitem__, ids)), self.decode(ids)
+
+    def read(self, text: str | None) -> list[Read]:
+        """What a text is made of: words of plain text, special tokens, and chunks between white space of other text."""
+        out: list[Read] = []
         for k, part in enumerate(self.specials.split(text or "") if self.specials else [text or ""]):
             if k % 2:
-                out.append(self.added[part])
-            elif part:
-                self._segment(part, out)
+                out.append(self._emitted((self.added[part],)))
+            elif PLAIN.fullmatch(part):
+                out.extend(map(self.words.__getitem__, PLAIN_WORDS.findall(part.lower())))
+            elif SEPARATOR.search(part):
+                out.extend(filter(itemgetter(0), map(self.chunks.__getitem__, part.split(" "))))
+            else:
+                out.extend(map(self.chunks.__getitem__, part.split()))
         return out
 
-    def decode(self, ids: list[int]) -> str:
+    def encode(self, text: str | None) -> list[int]:
+        return list(chain.from_iterable(map(itemgetter(0), self.read(text))))
+
+    def decode(self, ids: Sequence[int]) -> str:
         return " ".join(map(self.labels.__getitem__, ids))
 
 
@@ -235,14 +285,14 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(file.value)
-        number = encoder.numbers.__getitem__
         for batch in batches:
             counts, tokens, texts = [], [], []
             for value in batch.column(1):
-                ids = encoder.encode(value.as_py())
-                counts.append(len(ids))
-                tokens.append(hashlib.sha256(" ".join(map(number, ids)).encode()).hexdigest())
-                texts.append(hashlib.sha256(encoder.decode(ids).encode()).hexdigest())
+                read = encoder.read(value.as_py())
+                ids = " ".join([numbers for _, numbers, _ in read])
+                counts.append(ids.count(" ") + 1 if ids else 0)
+                tokens.append(hashlib.sha256(ids.encode()).hexdigest())
+                texts.append(hashlib.sha256(" ".join([labels for _, _, labels in read]).encode()).hexdigest())
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(tokens, pa.string()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
