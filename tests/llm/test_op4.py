@@ -85,3 +85,13 @@ def test_odd_rows(spark):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 4, 6, 7]
     empty = docs.filter("1 = 0")
     assert op.find(empty).count() == 0 and op.keep_one(empty).count() == 0
+
+
+def test_keep_one_with_repeated_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(80)) for x in "abcd")
+    rows = [(1, a), (5, a), (5, b), (7, c), (8, c), (8, d), (9, d), (2, b + " "), (3, "x y"), (3, "x y"), (3, "other words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_fp", F.lit(0)).withColumn("root", F.lit("r"))
+    kept = sorted((r["doc_id"], r["text"].strip()) for r in op.keep_one(docs).collect())
+    assert kept == sorted([(1, a), (2, b), (7, c), (8, d), (3, "x y"), (3, "other words here")])
+    alone = spark.createDataFrame([(1, a), (5, a), (5, b), (7, c)], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["text"]) for r in op.keep_one(alone).collect()) == [(1, a), (5, b), (7, c)]

@@ -258,8 +258,8 @@ def components(edges: DataFrame) -> DataFrame:
         mark = state
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = SHINGLE) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest id reachable)."""
+def grouped(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = SHINGLE) -> DataFrame:
+    """One row per document: doc_id, fp, root (the smallest fingerprint of its component), component_id (its smallest id)."""
     prints = stored(fingerprints(docs, id_col, text, width), "simhash")
     points = prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     points = stored(points, "simhash-points")
@@ -271,19 +271,43 @@ def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int
     named = stored(named.withColumn("root", F.coalesce("root", "fp")), "simhash-named")
     ids = named.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("k"))
     classes = shared_join(named.select("fp", "n", "root"), stored(ids, "simhash-ids"), ["root"], "k", ["fp"])
-    classes = stored(classes.select("fp", "n", "component_id"), "simhash-classes")
-    out = shared_join(prints, classes, ["fp"], "n", ["doc_id"])
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = stored(classes.select("fp", "n", "root", "component_id"), "simhash-classes")
+    return shared_join(prints, classes, ["fp"], "n", ["doc_id"]).select("doc_id", "fp", "root", "component_id")
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = SHINGLE) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest id reachable)."""
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return grouped(docs, id_col, text, width).select("doc_id", hexed, "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the smallest id of each component, with its columns; documents without id stay."""
-    found = find(docs, id_col, text)
-    drop = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_drop")).distinct()
+    """The document with the smallest id of each component, with its columns; documents without id stay.
+
+    An id is decided as a whole where all its rows fall alike. Where one id has rows that stay and rows that go, or several
+    rows in one component, the rows are told apart by fingerprint and one row per component stays.
+    """
+    found = stored(grouped(docs, id_col, text).filter("doc_id IS NOT NULL"), "simhash-found")
+    stays = F.col("doc_id") == F.col("component_id")
+    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.sum(stays.cast("long")).alias("stay"))
+    drop = ids.filter("stay = 0").select(F.col("doc_id").alias("_drop"))
+    several = stored(ids.filter("stay > 0 AND rows > 1").select(F.col("doc_id").alias("_several")), "simhash-several")
     own = [f"_in{i}" for i in range(len(docs.columns))]
     names = dict(zip(docs.columns, own, strict=True))
     rows = docs.toDF(*own).join(drop, F.col(names[id_col]) == F.col("_drop"), "left_anti")
-    return rows.select(*[F.col(o).alias(c) for c, o in names.items()])
+    back = [F.col(o).alias(c) for c, o in names.items()]
+    if several.isEmpty():
+        return rows.select(*back)
+
+    @F.pandas_udf("long")
+    def fp_of(texts):
+        return texts.map(lambda t: int(np.uint64(fingerprint(t)).astype(np.int64)))
+
+    at = F.col(names[id_col]) == F.col("_several")
+    heads = found.filter(stays).groupBy("doc_id", "root").agg(F.min("fp").alias("_fp")).select(F.col("doc_id").alias("_several"), "_fp").distinct()
+    told = rows.join(several, at, "left_semi").withColumn("_fp", fp_of(F.coalesce(F.col(names[text]), F.lit(""))))
+    told = told.withColumn("_several", F.col(names[id_col])).join(heads, ["_several", "_fp"], "left_semi").dropDuplicates(["_several", "_fp"])
+    return rows.join(several, at, "left_anti").select(*back).union(told.select(*back))
 
 
 @query("op4_simhash_vantage_trees")
