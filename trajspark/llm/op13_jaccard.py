@@ -280,9 +280,9 @@ def _entries(sets: DataFrame) -> DataFrame:
 
 
 def pivot_pairs(index: DataFrame, percent: int) -> DataFrame:
-    """Each entry with one entry of its token, chosen by a hash of token and set."""
+    """Each entry with one entry of its token: the set with the least hash, so that near copies share few pivots."""
     own = F.struct("sid", "n", "rest", *BITS)
-    pivots = index.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct(F.xxhash64("token", "sid").alias("h"), own.alias("row"))).alias("p"))
+    pivots = index.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct(F.xxhash64("sid").alias("h"), own.alias("row"))).alias("p"))
     pivots = stored(pivots.filter("k > 1").select("token", "k", F.col("p.row").alias("p")), "jaccard-pivots")
     met = shared_join(index.withColumn("own", own), pivots, ["token"], "k", ["sid"], "inner")
     met = met.filter(F.col("p.sid") != F.col("own.sid")).filter(_may_link(percent, "p", "own"))
