@@ -135,6 +135,41 @@ def test_pack_groups_equals_greedy_fold(spark, blocks, kind):
     assert got == greedy(sizes, 100)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_pack_groups_several_caps_and_keys(spark, blocks, seed):
+    rng = np.random.default_rng(seed)
+    rows, want = [], {}
+    for key, n in (("a", 90), ("b", 1), ("c", 33)):
+        # Zeros, tiny and giant items in turn: pointers skip blocks and many items wait for one.
+        sizes = np.where(rng.random(n) < 0.1, rng.integers(200, 900, n), rng.integers(0, 3, n))
+        counts = rng.integers(0, 5, n)
+        group, held, number = -1, (0, 0), []
+        for s_, x in zip(sizes.tolist(), counts.tolist(), strict=True):
+            if group < 0 or held[0] + s_ > 500 or held[1] + x > 40:
+                group, held = group + 1, (0, 0)
+            held = (held[0] + s_, held[1] + x)
+            number.append(group)
+        want |= {(key, i): g for i, g in enumerate(number)}
+        rows += [(key, i, s_, x) for i, (s_, x) in enumerate(zip(sizes.tolist(), counts.tolist(), strict=True))]
+    df = spark.createDataFrame(rows, "k string, at long, bytes long, x long").repartition(3)
+    got = {(r["k"], r["at"]): r["g"] for r in k.pack_groups(df, "at", {"bytes": 500, "x": 40}, "g", ["k"]).collect()}
+    assert got == want
+    assert k.pack_groups(df.filter("1 = 0"), "at", {"bytes": 500}, "g").count() == 0
+
+
+def test_pack_groups_of_many_tiny_items(spark):
+    """A million items in one group and in small ones; every task of the packing gets two blocks at most."""
+    spark.conf.set("spark.trajspark.blockRows", "50000")
+    try:
+        items = spark.range(1_000_000).select(F.col("id").alias("at"), F.lit(1).alias("bytes"))
+        for cap, groups in ((10_000_000, 1), (999, 1002)):
+            out = k.pack_groups(items, "at", {"bytes": cap}, "g")
+            found = out.agg(F.max("g"), F.count("g"), F.sum((F.col("g") != F.floor(F.col("at") / cap)).cast("int"))).first()
+            assert tuple(found) == (groups - 1, 1_000_000, 0)
+    finally:
+        spark.conf.unset("spark.trajspark.blockRows")
+
+
 def test_round_trip_append_publish(spark, dataset, lengths, tmp_path, blocks):
     root = str(tmp_path / "ds")
     ds = io.write_dataset(dataset, root, max_mb=0.001, bytes_per_frame=40)

@@ -4,126 +4,185 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trajspark.dataset import CHUNK_FILES
 from trajspark.functions.columns import block_of, c
-from trajspark.operators.layout import EPISODE, block_rows, positions, running
+from trajspark.operators.layout import EPISODE, block_rows, positions, running, set_checkpoint_dir
 
 MB = 1024 * 1024
+#: Stands for "after the last item".
+FAR = 1 << 62
 
 
-def _next_start(sums: Sequence[np.ndarray], caps: Sequence[int], i: np.ndarray) -> np.ndarray:
-    """First item after ``i`` that no longer fits in a group opened at ``i``."""
-    ends = [np.searchsorted(p[1:], p[i] + cap, side="right") for p, cap in zip(sums, caps)]
-    return np.maximum(np.minimum.reduce(ends), i + 1)
+def _steps(to: np.ndarray):
+    """Pointer doubling over local pointers ``to`` (len(to) is the way out): yields the pointers after 1, 2, 4, … steps."""
+    out = len(to)
+    jump = np.append(to, out)
+    while True:
+        yield jump
+        if (jump == out).all():
+            return
+        jump = jump[jump]
 
 
-def _first_start(sums: Sequence[np.ndarray], caps: Sequence[int], held: Sequence[int]) -> int:
-    """First item that does not fit in the group left open by earlier blocks."""
-    return int(min(np.searchsorted(p[1:], cap - h, side="right") for p, cap, h in zip(sums, caps, held)))
+def _leave(to: np.ndarray, beyond: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per item, where the chain of ``to`` first leads out of the block (from ``beyond``), and its items up to there."""
+    last, hops = np.append(np.arange(len(to)), -1), np.append(np.ones(len(to), np.int64), 0)
+    for jump in _steps(to):
+        last = np.where(jump == len(to), last, last[jump])
+        hops = hops + hops[jump]
+    return beyond[last[:-1]], hops[:-1]
+
+
+def _chain(to: np.ndarray, start: int) -> np.ndarray:
+    """Marks of the items that the chain of ``to`` visits from ``start``."""
+    marks = np.zeros(len(to) + 1, bool)
+    marks[start] = True
+    for jump in _steps(to):
+        marks[jump[np.flatnonzero(marks)]] = True
+    return marks[:-1]
+
+
+def _local(pdf: pd.DataFrame, order: str) -> tuple[np.ndarray, np.ndarray]:
+    """Pointers of a sorted block as local places, len(block) beyond it, and as they are."""
+    at, beyond = pdf[order].to_numpy(np.int64), pdf["_next"].to_numpy(np.int64)
+    return np.minimum(beyond - at[0], len(at)), beyond
+
+
+def _block_pairs(blocks: DataFrame, cap: int, keys: Sequence[str]) -> DataFrame:
+    """For each block ``_q``, the blocks ``_b`` in which the sums its items wait for (own start + cap) may be passed.
+
+    Both run upwards, so all blocks together have at most three such pairs per block. One row per block is scanned.
+    """
+    spread = [
+        F.struct(F.col("_hi").alias("v"), F.lit(0).alias("kind"), F.col("_block").alias("b")),
+        F.struct(F.col("_lo").alias("v"), F.lit(1).alias("kind"), F.col("_block").alias("b")),
+        F.struct((F.col("_lo") + cap).alias("v"), F.lit(2).alias("kind"), F.col("_block").alias("b")),
+        F.struct((F.col("_hi") + cap).alias("v"), F.lit(3).alias("kind"), F.col("_block").alias("b")),
+    ]
+    key_cols = [c(k) for k in keys]
+    marks = blocks.select(*key_cols, F.explode(F.array(*spread)).alias("m")).select(*key_cols, "m.*")
+    window = Window.partitionBy(*key_cols).orderBy("v", "kind", "b")
+    found = marks.withColumns(
+        {
+            "first": F.first(F.when(F.col("kind") == 0, F.col("b")), ignorenulls=True).over(window.rowsBetween(1, Window.unboundedFollowing)),
+            "last": F.last(F.when(F.col("kind") == 1, F.col("b")), ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0)),
+        }
+    )
+    ranges = found.groupBy(*key_cols, F.col("b").alias("_q")).agg(
+        F.max(F.when(F.col("kind") == 2, F.col("first"))).alias("first"), F.max(F.when(F.col("kind") == 3, F.col("last"))).alias("last")
+    )
+    ranges = ranges.filter("first <= last")
+    return ranges.select(*key_cols, "_q", F.explode(F.sequence("first", "last")).alias("_b"))
+
+
+def _next_starts(table: DataFrame, order: str, caps: Sequence[int], keys: Sequence[str]) -> DataFrame:
+    """Add ``_next``: the first item after each that no longer fits in a group opened at it, FAR where all fit.
+
+    Blocks meet only the blocks in which their items' sums run full, so a task gets two blocks whatever the weights are.
+    """
+    key_cols = [c(k) for k in keys]
+    out = T.StructType([*(table.schema[k] for k in keys), T.StructField(order, T.LongType()), T.StructField("_next", T.LongType())])
+
+    def finder(cap: int):
+        def find(asked: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
+            items = items.sort_values("_at")
+            sums = items["_sum"].to_numpy(np.int64)
+            wait = asked["_from"].to_numpy(np.int64) + cap
+            here = (wait >= items["_from"].iloc[0] if len(items) else wait < wait) & (wait < (sums[-1] if len(sums) else 0))
+            found = asked[here]
+            to = items["_at"].to_numpy(np.int64)[np.searchsorted(sums, wait[here], side="right")] if len(items) else np.empty(0, np.int64)
+            rows = found[list(keys)].copy()
+            rows[order] = found["_at"].astype(np.int64)
+            rows["_next"] = np.maximum(to, found["_at"].to_numpy(np.int64) + 1)
+            return rows
+
+        return find
+
+    parts = []
+    for k, cap in enumerate(caps):
+        rows = table.select(*key_cols, "_block", c(order).alias("_at"), (F.col(f"_p{k}") - F.col(f"_w{k}")).alias("_from"), F.col(f"_p{k}").alias("_sum"))
+        blocks = rows.groupBy(*key_cols, "_block").agg(F.min("_from").alias("_lo"), F.max("_sum").alias("_hi"))
+        pairs = _block_pairs(blocks, cap, keys)
+        group = [*keys, "_q", "_b"]
+        asked = rows.drop("_sum").withColumnRenamed("_block", "_q").join(pairs, [*keys, "_q"])
+        items = rows.withColumnRenamed("_block", "_b").join(pairs, [*keys, "_b"])
+        # Both sides come from one table: new names keep their columns apart.
+        left, right = (side.select(*[c(n).alias(n) for n in side.columns]) for side in (asked, items))
+        parts.append(left.groupBy(*map(c, group)).cogroup(right.groupBy(*map(c, group))).applyInPandas(finder(cap), out))
+    found = reduce(DataFrame.unionByName, parts)
+    if len(parts) > 1:
+        found = found.groupBy(*key_cols, c(order)).agg(F.min("_next").alias("_next"))
+    return table.join(found, [*keys, order], "left").withColumn("_next", F.coalesce("_next", F.lit(FAR)))
+
+
+def _reached(pointers: DataFrame, rounds: int, keys: Sequence[str]) -> DataFrame:
+    """All items on the chain of ``pointers`` (keys, _at, _to) from item 0, by doubling: each round joins pointers to themselves."""
+    marked = pointers.filter("_at = 0").select(*map(c, keys), "_at")
+    for _ in range(rounds):
+        ahead = marked.join(pointers, [*keys, "_at"]).select(*map(c, keys), F.col("_to").alias("_at")).filter(F.col("_at") < FAR)
+        marked = marked.union(ahead).distinct().checkpoint()
+        then = pointers.select(*map(c, keys), F.col("_at").alias("_to"), F.col("_to").alias("_then"))
+        pointers = pointers.join(then, [*keys, "_to"], "left").select(*map(c, keys), "_at", F.coalesce("_then", F.lit(FAR)).alias("_to")).checkpoint()
+    return marked
 
 
 def pack_groups(df: DataFrame, order: str, caps: Mapping[str, int], out: str = "group_no", keys: Sequence[str] = ()) -> DataFrame:
     """Greedy packing in order: a new group opens when an item would push any integer weight above its cap.
 
-    A fold with reset, done in three steps so that no task sees the whole table. (1) Every block of items is solved for
-    each place its first new group can start; these are the items of at most one group, so a block answers with a few
-    rows. (2) The answers are chained block by block. (3) Each block is numbered from its now known start.
-    ``order`` must be dense per ``keys``.
+    The groups are a linked list: an item points to the first one that no longer fits in a group opened at it. Pointers come
+    from running sums, which blocks of items look up in each other; within a block they are followed at once, so a block
+    has one pointer per item that leads out of it. The blocks' first starts are the items that such pointers reach from item
+    0; they are marked by pointer doubling, in as many rounds as the number of blocks has binary digits. From its first start
+    a block marks the others and numbers them. No task gets more than two blocks, however many items a group holds; only
+    scans of one row per block are not spread. ``order`` must be dense per ``keys``; weights must not be negative.
     """
     size = block_rows(df)
-    weights, limits = list(caps), [int(caps[w]) for w in caps]
-    base = df.withColumn("_block", block_of(c(order), size))
-    key_fields = [df.schema[k] for k in keys]
-    n_caps = len(weights)
+    set_checkpoint_dir(df)
+    key_cols, weights = [c(k) for k in keys], {f"_w{i}": c(w).cast("long") for i, w in enumerate(caps)}
+    slim = df.select(*key_cols, c(order).cast("long").alias(order), *[w.alias(n) for n, w in weights.items()])
+    summed = running(slim, {f"_p{i}": ("sum", c(f"_w{i}")) for i in range(len(caps))}, keys=keys, order=order)
+    table = summed.withColumn("_block", block_of(c(order), size)).checkpoint()
+    table = _next_starts(table, order, [int(x) for x in caps.values()], keys).select(*key_cols, "_block", c(order), "_next").checkpoint()
 
-    def prefix(pdf: pd.DataFrame) -> list[np.ndarray]:
-        return [np.concatenate([[0], np.cumsum(pdf[w].to_numpy(np.int64))]) for w in weights]
+    at = T.StructField("_at", T.LongType())
+    key_fields = [table.schema[k] for k in keys]
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
-        sums, m = prefix(pdf), len(pdf)
-        follow = _next_start(sums, limits, np.arange(m))
-        last, count = np.arange(m), np.ones(m, np.int64)
-        for i in range(m - 1, -1, -1):
-            if follow[i] < m:
-                last[i], count[i] = last[follow[i]], count[follow[i]] + 1
-        reach = min(_first_start(sums, limits, [0] * n_caps), m - 1) + 1
-        head = pdf.iloc[0]
-        row = {k: head[k] for k in keys}
-        row |= {
-            "_block": head["_block"],
-            "heads": [p[1 : reach + 1].tolist() for p in sums],
-            "totals": [int(p[m]) for p in sums],
-            "left": [(p[m] - p[last[:reach]]).tolist() for p in sums],
-            "groups": count[:reach].tolist(),
-        }
-        return pd.DataFrame([row])
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, held, done = [], None, 0
-        for r in pdf.sort_values("_block").to_dict("records"):
-            rows.append({**{k: r[k] for k in keys}, "_block": r["_block"], "held": held or [0] * n_caps, "opened": done})
-            if held is None:
-                at = 0
-            else:
-                at = int(min(np.searchsorted(np.asarray(h), cap - x, side="right") for h, cap, x in zip(r["heads"], limits, held)))
-            if at < len(r["groups"]):
-                held, done = [int(x[at]) for x in r["left"]], done + int(r["groups"][at])
-            else:
-                held = [int(x + t) for x, t in zip(held, r["totals"])]
-        return pd.DataFrame(rows)
+        to, beyond = _local(pdf, order)
+        leave, hops = _leave(to, beyond)
+        return pdf[[*keys, "_block"]].assign(_at=pdf[order], _to=leave, _hops=hops)
+
+    longs = [T.StructField(n, T.LongType()) for n in ("_block", "_at", "_to", "_hops")]
+    solved = table.groupBy(*key_cols, "_block").applyInPandas(solve, T.StructType([*key_fields, *longs])).checkpoint()
+    blocks = table.agg(F.max("_block")).first()[0] or 0
+    firsts = solved.filter("_at = 0")
+    if blocks:
+        goals = solved.select(*key_cols, F.col("_to").alias("_at")).filter(F.col("_at") < FAR).union(firsts.select(*key_cols, "_at")).distinct()
+        pointers = solved.join(goals, [*keys, "_at"], "left_semi").select(*key_cols, "_at", "_to").checkpoint()
+        firsts = _reached(pointers, int(blocks).bit_length(), keys).join(solved, [*keys, "_at"])
+    opened = table.select(*key_cols, "_block").distinct().join(firsts.select(*key_cols, "_block", "_at", "_hops"), [*keys, "_block"], "left")
+    before = Window.partitionBy(*key_cols).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    opened = opened.withColumn("_opened", F.coalesce(F.sum("_hops").over(before), F.lit(0)))
+    opened = opened.select(*key_cols, "_block", F.coalesce("_at", F.lit(-1)).alias("_first"), "_opened")
 
     def number(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order).reset_index(drop=True)
-        sums, m = prefix(pdf), len(pdf)
-        opened, held = int(pdf["opened"].iloc[0]), list(pdf["held"].iloc[0])
-        starts, at = [], 0 if opened == 0 else _first_start(sums, limits, held)
-        while at < m:
-            starts.append(at)
-            at = int(_next_start(sums, limits, np.array([at]))[0])
-        mark = np.zeros(m, np.int64)
-        mark[starts] = 1
-        pdf[out] = opened - 1 + np.cumsum(mark)
-        return pdf[[*keys, order, out]]
-
-    longs = T.ArrayType(T.ArrayType(T.LongType()))
-    solved_schema = T.StructType(
-        [
-            *key_fields,
-            T.StructField("_block", T.LongType()),
-            T.StructField("heads", longs),
-            T.StructField("totals", T.ArrayType(T.LongType())),
-            T.StructField("left", longs),
-            T.StructField("groups", T.ArrayType(T.LongType())),
-        ]
-    )
-    chained_schema = T.StructType(
-        [
-            *key_fields,
-            T.StructField("_block", T.LongType()),
-            T.StructField("held", T.ArrayType(T.LongType())),
-            T.StructField("opened", T.LongType()),
-        ]
-    )
-    needed = base.select(*[c(k) for k in keys], c(order), "_block", *[c(w).cast("long").alias(w) for w in weights])
-    solved = needed.groupBy(*[c(k) for k in keys], "_block").applyInPandas(solve, solved_schema)
-    if keys:
-        chained = solved.groupBy(*[c(k) for k in keys]).applyInPandas(chain, chained_schema)
-    else:
-        chained = solved.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(chain, chained_schema)
-    numbered_schema = T.StructType([*key_fields, df.schema[order], T.StructField(out, T.LongType())])
-    numbered = (
-        needed.join(chained, [*keys, "_block"])
-        .groupBy(*[c(k) for k in keys], "_block")
-        .applyInPandas(number, numbered_schema)
-    )
+        pdf = pdf.sort_values(order)
+        to, _ = _local(pdf, order)
+        start = int(pdf["_first"].iloc[0])
+        marks = _chain(to, start - int(pdf[order].iloc[0])) if start >= 0 else np.zeros(len(pdf), bool)
+        return pdf[[*keys, order]].assign(**{out: pdf["_opened"].to_numpy(np.int64) - 1 + np.cumsum(marks)})
+
+    numbered_schema = T.StructType([*key_fields, T.StructField(order, T.LongType()), T.StructField(out, T.LongType())])
+    numbered = table.join(opened, [*keys, "_block"]).groupBy(*key_cols, "_block").applyInPandas(number, numbered_schema)
     return df.join(numbered, [*keys, order])
 
 
