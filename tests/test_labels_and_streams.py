@@ -201,3 +201,19 @@ def test_entry(spark):
 
     assert entry.entry(spark).limit(5).count() == 5
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_draws_are_uniform_and_the_same_everywhere(spark):
+    import hashlib
+
+    from trajspark.functions.columns import hash_uniform
+
+    got = spark.range(20000).select("id", hash_uniform(7, F.col("id"), F.lit(2)).alias("u")).collect()
+    for r in got[:200]:
+        assert r["u"] == (int(hashlib.md5(f"7:{r['id']}:2".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+    counts = [0] * 20
+    for r in got:
+        counts[int(r["u"] * 20)] += 1
+    assert sum((n - 1000) ** 2 / 1000 for n in counts) < 50  # chi-square with 19 degrees of freedom
+    crops = sm.random_crop_plan(spark.range(500).withColumnRenamed("id", "index"), 8, 9, 6, 5, 1).collect()
+    assert {r["crop_top"] for r in crops} == {0, 1, 2} and {r["crop_left"] for r in crops} == {0, 1, 2, 3, 4}

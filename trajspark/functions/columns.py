@@ -35,10 +35,14 @@ def vsub(left: Column, right: Column) -> Column:
 
 
 def hash_uniform(seed: int, *cols: Column) -> Column:
-    """Repeatable uniform number in (0, 1) from row keys, the same on every retry of a task."""
-    top = float(2**53)
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11)
-    return (bits.cast("double") + F.lit(0.5)) / F.lit(top)
+    """Uniform number in (0, 1) for a seed and whole-number counters: the same on every retry, and in every SQL engine.
+
+    The first 13 hex digits of ``md5('seed:counter:…')`` are a 52-bit number v; the result is ``(v + 0.5) / 2^52``, exact in
+    doubles. Null counters are left out.
+    """
+    counters = F.concat_ws(":", F.lit(str(seed)), *[x.cast("string") for x in cols])
+    bits = F.conv(F.substring(F.md5(counters), 1, 13), 16, 10).cast("long")
+    return (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
 def is_numeric(df: DataFrame, name: str) -> bool:

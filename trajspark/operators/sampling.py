@@ -13,12 +13,6 @@ from trajspark.operators.layout import EPISODE, join_episodes, positions
 from trajspark.operators.schema import nan_check
 
 
-def last_rows(transitions: DataFrame, capacity: int, order: str = "index") -> DataFrame:
-    """The newest ``capacity`` rows of a log with a dense order."""
-    newest = transitions.agg(F.max(c(order))).first()[0]
-    return transitions.filter(c(order) > (newest if newest is not None else -1) - capacity)
-
-
 def sample_transitions(
     transitions: DataFrame, n: int, capacity: int, seed: int = 0, order: str = "index", next_from_following: bool = False, state: str = "observation.state"
 ) -> DataFrame:
@@ -72,8 +66,8 @@ def weighted_subset(key: Sequence[Column], items: Sequence[str], weights: Sequen
 
 
 def sample_fraction_per_episode(frames: DataFrame, episodes: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
-    """``max(1, int(n * fraction))`` frames of every episode, those with the smallest hashes."""
-    hashed = frames.withColumn("_h", F.xxhash64(F.lit(seed), F.col("index")))
+    """``max(1, int(n * fraction))`` frames of every episode, those with the smallest draws."""
+    hashed = frames.withColumn("_h", hash_uniform(seed, F.col("index")))
     ranked = positions(hashed, "_rank", ["_h", "index"], [EPISODE])
     wanted = F.greatest(F.lit(1), F.floor(F.col("length") * F.lit(fraction)))
     sized = join_episodes(ranked, episodes.select(EPISODE, "length", wanted.alias("_k")))

@@ -12,7 +12,7 @@ from trajspark.operators import sampling as p
 from trajspark.operators import similar, steps
 from trajspark.operators import windows as w
 from trajspark.dataset import EpisodicDataset
-from trajspark.plans.registry import EVENTS, query
+from trajspark.plans.registry import EVENTS, query, uniform_sql
 from trajspark.plans.stats_queries import IMAGES, images
 from trajspark.sources.adapters import frames_events, table
 from trajspark.sources.nested import load_episodic_from_nested
@@ -126,11 +126,28 @@ def x6(spark, d):
     return out.select("index", F.posexplode("pixels").alias("_p", "pixel")).select("index", F.col("_p").cast("long").alias("pos"), "pixel")
 
 
-@query("P14_random_shift")
+@query("P14_random_shift", f"""WITH {IMAGES}, pl AS (SELECT i, CAST(floor({uniform_sql(7, "i", "0")} * 5) AS INTEGER) AS dy, CAST(floor({uniform_sql(7, "i", "1")} * 5) AS INTEGER) AS dx FROM (SELECT DISTINCT i FROM px)),
+ t AS (SELECT i, p, dy, dx, greatest(0, least(7, p // 8 + dy - 2)) * 8 + greatest(0, least(7, p % 8 + dx - 2)) AS src FROM (SELECT i, p FROM px) JOIN pl USING (i))
+SELECT t.i AS "index", t.p AS pos, dy AS shift_y, dx AS shift_x, px.x AS pixel FROM t JOIN px ON px.i = t.i AND px.p = t.src""")
 def p14(spark, d):
     plan = p.random_shift_plan(images(spark, d), 2, 7)
     out = im.shift(c("pixels"), (1, 8, 8), 2, F.col("shift_y"), F.col("shift_x"))
-    return plan.select("index", "shift_y", "shift_x", out.alias("shifted"))
+    shifted = plan.select("index", "shift_y", "shift_x", F.posexplode(out).alias("_p", "pixel"))
+    return shifted.select("index", F.col("_p").cast("long").alias("pos"), "shift_y", "shift_x", "pixel")
+
+
+CROPS = f"""pl AS (SELECT i, CAST(floor({uniform_sql(8, "i", "0")} * 3) AS INTEGER) AS y, CAST(floor({uniform_sql(8, "i", "1")} * 4) AS INTEGER) AS x FROM (SELECT DISTINCT i FROM px))"""
+
+
+@query("P14_random_crop", f"""WITH {IMAGES}, {CROPS} SELECT i AS "index", (p // 8 - pl.y) * 5 + (p % 8 - pl.x) AS pos, px.x AS pixel
+FROM px JOIN pl USING (i) WHERE p // 8 BETWEEN pl.y AND pl.y + 5 AND p % 8 BETWEEN pl.x AND pl.x + 4""")
+def p14_crop(spark, d):
+    """6 x 5 crops of the 8 x 8 images at drawn corners."""
+    plan = p.random_crop_plan(images(spark, d), 8, 8, 6, 5, 8)
+    at = plan.select("index", "crop_top", "crop_left", F.posexplode("pixels").alias("p", "pixel"))
+    y, x = F.floor(F.col("p") / 8) - F.col("crop_top"), F.col("p") % 8 - F.col("crop_left")
+    inside = at.withColumns({"y": y, "x": x}).filter("y BETWEEN 0 AND 5 AND x BETWEEN 0 AND 4")
+    return inside.select("index", (F.col("y") * 5 + F.col("x")).cast("long").alias("pos"), "pixel")
 
 
 def repeated_step():
@@ -153,25 +170,35 @@ def w19(spark, d):
     return similar.similar_filter(frames, "observation.state", 25.0, step="step").select("episode_index", "frame_index")
 
 
-@query("P9_sample_transitions")
+def drawn_sql(name: str, n: int, seed: int) -> str:
+    """Rows of ``fr`` at ``n`` draws from the newest 5000."""
+    return f"""{name} AS (SELECT draw, lo + CAST(floor({uniform_sql(seed, "draw")} * (hi - lo + 1)) AS BIGINT) AS i
+  FROM (SELECT max(i) AS hi, greatest(min(i), max(i) - 4999) AS lo FROM fr), range({n}) AS r(draw))"""
+
+
+@query("P9_sample_transitions", f"""WITH {EVENTS}, {drawn_sql("d", 2000, 3)} SELECT draw, i AS "index", e AS episode_index, v AS reward FROM d JOIN fr USING (i)""")
 def p9(spark, d):
     frames = frames_events(spark, d).frames
     return p.sample_transitions(w.next_state(frames, ["observation.state"]), 2000, 5000, 3).select("draw", "index", "episode_index", "reward")
 
 
-@query("P10_mix_online_offline")
+@query("P10_mix_online_offline", f"""WITH {EVENTS}, {drawn_sql("a", 500, 5)}, {drawn_sql("b", 500, 6)}
+SELECT draw, 'online' AS source, i AS "index", v AS reward FROM a JOIN fr USING (i) UNION ALL SELECT draw, 'offline', i, NULL FROM b""")
 def p10(spark, d):
     t = w.next_state(frames_events(spark, d).frames, ["observation.state"])
     return p.mix_online_offline(t, t.drop("reward"), 1000, 5000, 5).select("draw", "source", "index", "reward")
 
 
-@query("P11_weighted_subset")
+@query("P11_weighted_subset", f"""WITH {EVENTS}, it AS (SELECT * FROM (VALUES (0, 'brightness', 1.0), (1, 'contrast', 1.0), (2, 'hue', 2.0), (3, 'sharpness', 4.0)) t(k, name, w)),
+ r AS (SELECT fr.i, it.k, name, row_number() OVER (PARTITION BY fr.i ORDER BY -ln({uniform_sql(9, "fr.i", "it.k")}) / CAST(w AS DOUBLE), it.k) AS nth FROM fr, it)
+SELECT i AS "index", string_agg(name, ',' ORDER BY k) AS plan FROM r WHERE nth <= 2 GROUP BY i""")
 def p11(spark, d):
     plan = p.weighted_subset([F.col("index")], ["brightness", "contrast", "hue", "sharpness"], [1.0, 1.0, 2.0, 4.0], 2, 9)
     return frames_events(spark, d).frames.select("index", F.array_join(plan, ",").alias("plan"))
 
 
-@query("P12_sample_fraction")
+@query("P12_sample_fraction", f"""WITH {EVENTS}, r AS (SELECT e, f, i, n, row_number() OVER (PARTITION BY e ORDER BY {uniform_sql(4, "i")}, i) AS nth FROM fr)
+SELECT e AS episode_index, f AS frame_index, i AS "index" FROM r WHERE nth <= greatest(1, floor(n * 0.1))""")
 def p12(spark, d):
     ds = frames_events(spark, d)
     return p.sample_fraction_per_episode(ds.frames, ds.episodes, 0.1, 4).select("episode_index", "frame_index", "index")
@@ -182,7 +209,8 @@ def p13(spark, d):
     return p.shuffle(frames_events(spark, d).frames, 1).select("index", "episode_index")
 
 
-@query("P15_perturb_labels")
+@query("P15_perturb_labels", f"""WITH {EVENTS}, r AS (SELECT *, {uniform_sql(6, "i")} < 0.2 AS hit FROM fr)
+SELECT i AS "index", CASE WHEN hit THEN 'something else' ELSE task END AS task, CASE WHEN hit THEN 0 ELSE v END AS target, hit AS perturbed FROM r""")
 def p15(spark, d):
     frames = frames_events(spark, d).frames.withColumn("target", c("next.reward"))
     return p.perturb_labels(frames, 0.2, 6, "task", "something else", ["target"]).select("index", "task", "target", "perturbed")

@@ -51,3 +51,9 @@ CONV = """fr AS (
          row_number() OVER (ORDER BY conv_id, turn) - 1 AS i, dense_rank() OVER (ORDER BY role) - 1 AS task_index,
          count(*) OVER (PARTITION BY conv_id) AS n, role AS task, text, conv_id
   FROM conversations)"""
+
+
+def uniform_sql(seed: int, *counters: str) -> str:
+    """``hash_uniform`` in SQL."""
+    text = " || ':' || ".join([f"'{seed}'", *(f"CAST({x} AS VARCHAR)" for x in counters)])
+    return f"((CAST(CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0)"
