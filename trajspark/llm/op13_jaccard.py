@@ -13,7 +13,7 @@ the similarity. What passes is verified on the tokens that the sets can have in
    than one set has. Common tokens of step 1 are not sent.
 3. ``shared_tokens``: per set the returned tokens, the index entries of its prefix, the bit sets. A token of one set only
    can't make a candidate or add to an overlap; it takes its place in the prefix and is dropped.
-4. Every index entry first meets one pivot of its token, a linear number of pairs. Their verified links make classes, and
+4. Every index entry first meets a few pivots of its token, a linear number of pairs. Their verified links make classes, and
    then only entries of different classes meet, in tiles of bounded size. So a large group of near copies costs no pairs of
    its members, and no link between different classes is lost.
 
@@ -53,6 +53,8 @@ RANGE_TOKENS = 4_000_000
 LEAST_RANGES = 64
 #: Entries of one token that meet in one task, and pairs of one set.
 TILE = 1000
+#: Pivots of a token.
+PIVOTS = 6
 #: Frequencies of common tokens start here.
 ABOVE = 1 << 40
 #: Words a task keeps the hashes of.
@@ -280,11 +282,12 @@ def _entries(sets: DataFrame) -> DataFrame:
 
 
 def pivot_pairs(index: DataFrame, percent: int) -> DataFrame:
-    """Each entry with one entry of its token: the set with the least hash, so that near copies share few pivots."""
+    """Each entry with the pivots of its token: the sets with the least values of PIVOTS hashes, so near copies share few."""
     own = F.struct("sid", "n", "rest", *BITS)
-    pivots = index.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct(F.xxhash64("sid").alias("h"), own.alias("row"))).alias("p"))
-    pivots = stored(pivots.filter("k > 1").select("token", "k", F.col("p.row").alias("p")), "jaccard-pivots")
-    met = shared_join(index.withColumn("own", own), pivots, ["token"], "k", ["sid"], "inner")
+    least = [F.min(F.struct(F.xxhash64("sid", F.lit(k)).alias("h"), own.alias("row"))) for k in range(PIVOTS)]
+    pivots = index.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.array(*least).alias("p")).filter("k > 1")
+    pivots = stored(pivots.select("token", "k", F.array_distinct(F.transform("p", lambda x: x["row"])).alias("p")), "jaccard-pivots")
+    met = shared_join(index.withColumn("own", own), pivots, ["token"], "k", ["sid"], "inner").withColumn("p", F.explode("p"))
     met = met.filter(F.col("p.sid") != F.col("own.sid")).filter(_may_link(percent, "p", "own"))
     return met.select(F.least("p.sid", "sid").alias("a"), F.greatest("p.sid", "sid").alias("b")).distinct()
 
