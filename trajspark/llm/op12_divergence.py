@@ -34,14 +34,14 @@ PRIOR = 5
 #: Letters of ASCII lower-cased, other ASCII to a blank, bytes of other characters as they are.
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 #: A task gives its sums away when it holds this many terms.
-HELD = 300_000
+HELD = 500_000
 #: Terms in a slice, and sources in a tile: a task compares two tiles over one slice.
 SLICE = 4096
 TILE = 128
 
 
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """Per (lang, source, term) occurrences ``n`` and documents ``d``; a group's row with term '' is always there."""
+    """Per (lang, source, term) occurrences ``n`` and documents ``d``, dealt by (lang, term): one shuffle of the tasks' sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: dict[tuple[str, str], tuple[dict, dict]] = {}
@@ -49,13 +49,13 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
 
         def flush() -> Iterator[pa.RecordBatch]:
             for (of, src), (total, within) in groups.items():
-                terms = [b"", *total]
+                terms = list(total)
                 columns = [
                     pa.array([of] * len(terms), pa.string()),
                     pa.array([src] * len(terms), pa.string()),
                     pa.array(terms, pa.binary()).cast(pa.string()),
-                    pa.array([0, *total.values()], pa.int64()),
-                    pa.array([0, *map(within.__getitem__, total)], pa.int64()),
+                    pa.array(total.values(), pa.int64()),
+                    pa.array(map(within.__getitem__, total), pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "d"])
             groups.clear()
@@ -74,7 +74,7 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
         yield from flush()
 
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
-    parts = arrow_map(rows, run, "lang string, source string, term string, n long, d long")
+    parts = arrow_map(rows, run, "lang string, source string, term string, n long, d long").repartition("lang", "term")
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
 
 
@@ -126,14 +126,14 @@ def _ranked(df: DataFrame, part: str) -> DataFrame:
 
 def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> DataFrame:
     """lang, source, part ('pair' or 'term'), item, value, rank."""
-    counts = stored(term_counts(docs, text, lang, source), "divergence-counts")
-    kept = counts.filter("term <> ''").groupBy("lang", "term").agg(F.sum("d").alias("d"), F.sum("n").alias("lang_n"))
-    kept = kept.filter(F.col("d") >= min_docs).drop("d")
-    cells = stored(counts.filter("term <> ''").join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"), "divergence-cells")
+    in_term = Window.partitionBy("lang", "term")  # a row per source
+    counts = term_counts(docs, text, lang, source).withColumns({"docs": F.sum("d").over(in_term), "lang_n": F.sum("n").over(in_term)})
+    cells = stored(counts.filter(F.col("docs") >= min_docs).select("lang", "source", "term", "n", "lang_n"), "divergence-cells")
 
     sizes = cells.select("lang", "term", "lang_n").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("lang_n").alias("lang_total"))
     totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = counts.filter("term = ''").select("lang", "source").join(totals, ["lang", "source"], "left").join(sizes, ["lang"], "left")
+    found = docs.select(*[F.coalesce(F.col(x), F.lit("")).alias(y) for x, y in ((lang, "lang"), (source, "source"))]).distinct()
+    groups = found.join(totals, ["lang", "source"], "left").join(sizes, ["lang"], "left")
     groups = groups.fillna(0, ["total", "kept", "lang_total"])
     in_lang = Window.partitionBy("lang")
     groups = groups.withColumns(
