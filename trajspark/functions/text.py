@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trajspark.functions.columns import c
-from trajspark.operators.joins import join_blocks, spread_intervals
+from trajspark.operators.joins import carry_steps, first_cover
 from trajspark.operators.layout import EPISODE, FRAME, dictionary_join, positions
 
 # ---------------------------------------------------------------- times (F1)
@@ -258,13 +258,14 @@ def frame_instruction(frames: DataFrame, instructions: DataFrame, priority: Sequ
         {"_a": F.when(ranged, ends[0].cast("long")).otherwise(0), "_e": F.when(ranged, ends[1].cast("long")).otherwise(F.col("_n"))}
     )
     placed = placed.withColumn("_b", F.least(F.col("_n") - 1, F.greatest(F.col("_e") - 1, F.col("_a"))))
-    joined = join_blocks(frames, spread_intervals(placed, frames, "_a", "_b", F.struct("pos", "key", "_a", "_b", "text"), "_in"))
-    f = c(FRAME)
-    live = F.filter("_in", lambda x: (x["_a"] <= f) & (f <= x["_b"]))
-    joined = joined.withColumn("_live", live)
+    wanted = [*priority, "instruction"]
+    placed = placed.filter(F.col("key").isin(wanted)).withColumnRenamed("key", "_key")
+    steps = first_cover(placed, "_a", "_b", F.struct("pos", "_a", "_b", "text"), (EPISODE, "_key"))
+    columns = {f"_at_{i}": F.when(F.col("_key") == k, F.struct("_first")) for i, k in enumerate(wanted)}
+    joined = carry_steps(frames, steps, columns)
 
     def text(key: str) -> Column:
-        return F.get(F.filter("_live", lambda x: x["key"] == key), 0)["text"]
+        return F.col(f"_at_{wanted.index(key)}._first.text")
 
     chosen = [F.when(text(k) != "", F.concat(F.lit("\n"), text(k))) for k in priority]
-    return joined.withColumn("instruction", F.coalesce(*chosen, text("instruction"), F.lit(""))).drop("_in", "_live")
+    return joined.withColumn("instruction", F.coalesce(*chosen, text("instruction"), F.lit(""))).drop(*columns)

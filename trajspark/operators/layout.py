@@ -213,6 +213,37 @@ def set_checkpoint_dir(df: DataFrame) -> None:
         sc.setCheckpointDir(shared_folder(df.sparkSession))
 
 
+def has_hot_group(df: DataFrame, keys: Sequence[str] = ()) -> bool:
+    """Whether a group has more than ``spark.trajspark.hotGroupRows`` rows; one counting pass over the keys."""
+    hot_rows = _conf(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
+    counts = df.groupBy(*[c(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    return not counts.filter(F.col("_n") > hot_rows).isEmpty()
+
+
+def sorted_running(
+    df: DataFrame, columns: Mapping[str, tuple[str, Column]], order: Sequence[str], keys: Sequence[str] = (EPISODE,)
+) -> DataFrame:
+    """``running`` along any sort order instead of a dense number.
+
+    Without a hot group the scans are plain windows over one sort per direction. With one, rows are numbered by
+    ``positions`` and scanned in blocks. Keys must not be null.
+    """
+    if has_hot_group(df, keys):
+        return running(positions(df, "_at", order, keys), columns, keys, "_at").drop("_at")
+    rows = Window.partitionBy(*[c(k) for k in keys])
+    until = (Window.unboundedPreceding, Window.currentRow)
+    up = rows.orderBy(*[c(o).asc() for o in order]).rowsBetween(*until)
+    down = rows.orderBy(*[c(o).desc() for o in order]).rowsBetween(*until)
+    scans = {
+        "sum": lambda e: F.sum(e).over(up),
+        "min": lambda e: F.min(e).over(up),
+        "max": lambda e: F.max(e).over(up),
+        "last": lambda e: F.last(e, ignorenulls=True).over(up),
+        "next": lambda e: F.last(e, ignorenulls=True).over(down),
+    }
+    return df.withColumns({name: scans[kind](e) for name, (kind, e) in columns.items()})
+
+
 def positions(
     df: DataFrame, name: str, order: Sequence[str], keys: Sequence[str] = (), at_most: int | None = None
 ) -> DataFrame:
@@ -227,10 +258,7 @@ def positions(
     hot_rows = _conf(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
     key_cols = [c(k) for k in keys]
     order_cols = [c(o) for o in order]
-    hot = False
-    if at_most is None or at_most > hot_rows:
-        hot = not df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).isEmpty()
-    if not hot:
+    if (at_most is not None and at_most <= hot_rows) or not has_hot_group(df, keys):
         window = Window.partitionBy(*key_cols).orderBy(*order_cols)
         return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
 
