@@ -69,6 +69,14 @@ def test_first_cover_rows_do_not_grow_with_overlaps(spark):
         assert (got[p].pos if got[p] else None) == best
 
 
+def test_carry_steps_keeps_values_over_frames(spark, blocks):
+    """A struct of a step's columns reaches all frames up to the next step; a step of nulls ends it."""
+    steps = spark.createDataFrame([(0, 2, "a"), (0, 5, None), (0, 15, "b"), (1, 1, "c")], "episode_index long, _p long, _first string")
+    got = j.carry_steps(frame_rows(spark, [20, 3]), steps, {"_w": F.struct("_first")})
+    want = [(0, f, "b" if f >= 15 else "a" if 2 <= f < 5 else None) for f in range(20)] + [(1, 0, None), (1, 1, "c"), (1, 2, "c")]
+    assert sorted((r.episode_index, r.frame_index, r._w._first if r._w else None) for r in got.collect()) == want
+
+
 def test_interval_joins_keep_no_list_on_frames(spark):
     rows = [(0, 0, "a", 1, 2)]
     plan = j.subtask_of_frame(frame_rows(spark, [4]), spark.createDataFrame(rows, INTERVAL_SCHEMA))._jdf.queryExecution().toString()

@@ -116,7 +116,8 @@ def carry_steps(frames: DataFrame, steps: DataFrame, columns: Mapping[str, Colum
     marks = steps.withColumns({EPISODE: c(EPISODE).cast(frames.schema[EPISODE].dataType), "_o": F.col("_p") * 2, "_step": F.lit(True)})
     placed = frames.withColumns({"_o": c(FRAME).cast("long") * 2 + 1, "_step": F.lit(False)})
     both = placed.unionByName(marks.drop("_p"), allowMissingColumns=True)
-    carried = running(both, {name: ("last", value) for name, value in columns.items()}, order="_o")
+    # A frame has no values of its own; a struct of its nulls would not be null and would hide the step before it.
+    carried = running(both, {name: ("last", F.when(F.col("_step"), value)) for name, value in columns.items()}, order="_o")
     return carried.filter(~F.col("_step")).drop("_o", "_step", *own)
 
 
