@@ -222,3 +222,13 @@ def test_convert_legacy(spark, frames, lengths, tmp_path):
     (root / "meta/episodes.jsonl").write_text("\n".join(map(json.dumps, episodes[:-1])))
     with pytest.raises(ValueError, match="differ"):
         io.convert_legacy(spark, str(root), str(tmp_path / "bad"))
+
+
+def test_filter_episodes_by_table_keeps_one_copy_of_the_ids(spark, frames, dataset):
+    """Repeated ids, a null id, a table without ``index`` and a long list; no copies of the ids for salts."""
+    ids = spark.createDataFrame([(1,), (3,), (3,), (None,), (99,)], "episode_index long")
+    out = b.filter_episodes(frames, ids)
+    assert sorted(r.episode_index for r in out.collect()) == [1] + [3] * 23
+    assert "Generate" not in out._jdf.queryExecution().toString()
+    some = b.filter_episodes(dataset.episodes, [1, 3, *range(100, 101 + b.SHORT_LIST)])
+    assert sorted(r.episode_index for r in some.collect()) == [1, 3]

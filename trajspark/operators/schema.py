@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from trajspark.dataset import REQUIRED_COLUMNS, EpisodicDataset
 from trajspark.functions.columns import c
-from trajspark.operators.layout import EPISODE, FRAME, dictionary_join
+from trajspark.operators.layout import EPISODE, FRAME
 
 # Feature dtypes and their Spark types.
 SPARK_TYPES = {
@@ -92,9 +92,13 @@ def infer_features(frames: DataFrame) -> dict[str, dict]:
 
 
 def filter_episodes(frames: DataFrame, ids: Sequence[int] | DataFrame) -> DataFrame:
-    """Frames of some episodes, keeping the absolute ``index``; a short list becomes a pushed-down predicate."""
+    """Frames of some episodes, keeping the absolute ``index``; a short list becomes a pushed-down predicate.
+
+    A table of ids is joined as it is: it may be long, and copies of it for salts would reach the driver in a broadcast.
+    A semi join needs no distinct ids, and Spark can cut the frames of an episode that fills a partition.
+    """
     if isinstance(ids, DataFrame):
-        return dictionary_join(frames, ids.select(EPISODE).distinct(), EPISODE, ["index"], "left_semi")
+        return frames.join(ids.select(EPISODE), EPISODE, "left_semi")
     if len(ids) <= SHORT_LIST:
         return frames.filter(F.col(EPISODE).isin([int(i) for i in ids]))
     table = frames.sparkSession.createDataFrame([(int(i),) for i in ids], f"{EPISODE} long")
