@@ -232,3 +232,15 @@ def test_filter_episodes_by_table_keeps_one_copy_of_the_ids(spark, frames, datas
     assert "Generate" not in out._jdf.queryExecution().toString()
     some = b.filter_episodes(dataset.episodes, [1, 3, *range(100, 101 + b.SHORT_LIST)])
     assert sorted(r.episode_index for r in some.collect()) == [1, 3]
+
+
+def test_pack_videos_query_numbers_files_over_chunks(spark, monkeypatch):
+    """More files than a chunk holds: the query's file number goes on, as in its SQL."""
+    from types import SimpleNamespace
+
+    from trajspark.plans import dataset_queries as q
+
+    episodes = spark.range(1003).select(F.col("id").alias("episode_index"), F.lit(600).cast("long").alias("length"))
+    monkeypatch.setattr(q, "frames_events", lambda spark, d: SimpleNamespace(episodes=episodes))
+    got = {r.episode_index: r.file_index for r in q.k2(spark, "").collect()}
+    assert got == {e: e for e in range(1003)}

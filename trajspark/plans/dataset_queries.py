@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from trajspark.dataset import CHUNK_FILES
 from trajspark.functions.columns import c
 from trajspark.operators import algebra as a
 from trajspark.operators import joins as j
@@ -278,7 +279,8 @@ def k2(spark, d):
     e = frames_events(spark, d).episodes.withColumns({"bytes": F.col("length") * 2000, "seconds": F.col("length") / 30.0})
     out = k.pack_videos(e, "top", "seconds", "bytes", 1.0)
     v = "videos/top/"
-    return out.select("episode_index", c(v + "file_index").alias("file_index"), F.round(c(v + "from_timestamp"), 6).alias("from_timestamp"), F.round(c(v + "to_timestamp"), 6).alias("to_timestamp"))
+    number = c(v + "chunk_index") * CHUNK_FILES + c(v + "file_index")  # running over all chunks
+    return out.select("episode_index", number.alias("file_index"), F.round(c(v + "from_timestamp"), 6).alias("from_timestamp"), F.round(c(v + "to_timestamp"), 6).alias("to_timestamp"))
 
 
 @query("K3_episode_batches", walk_sql(EVENTS, "n", "w.held * 0.01 + s.sz * 0.01 >= 4.0 OR w.cnt >= 6 OR w.frames + s.n > 350") + " SELECT e AS episode_index, CAST(g AS BIGINT) AS batch FROM w")
