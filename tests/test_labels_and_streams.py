@@ -177,6 +177,26 @@ def test_bounded_queue_equals_simulation(frames, rows, blocks):
         depth[r[0]] = new
 
 
+def test_bounded_queue_walks_many_groups_in_small_batches(spark, blocks):
+    """Batches that end inside groups, keys of two columns, a null key; no call per group."""
+    rng = np.random.default_rng(3)
+    rows = [(f"k{g % 7}", g, i, bool(rng.integers(0, 2))) for g in range(40) for i in range(int(rng.integers(1, 25)))]
+    log = spark.createDataFrame([*rows, (None, 1, 0, True)], "a string, b long, i long, up boolean").repartition(3)
+    out = ops.bounded_queue(log, 2, ["a", "b"], "i", "up")
+    assert "FlatMapGroups" not in out._jdf.queryExecution().toString()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = {(r.a, r.b, r.i): (r.depth, r.dropped) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want, depth = {}, {}
+    for a, b, i, up in rows:
+        d = depth.get(b, 0)
+        depth[b] = min(2, d + 1) if up else max(0, d - 1)
+        want[a, b, i] = (depth[b], up and d == 2)
+    assert got == want
+
+
 SAMPLE = [
     "W1_J1_training_window", "W13_latched_reference", "W23_temporal_ensemble", "J3_frame_to_episode", "J5_nearest_frame", "J7_subtask_of_frame",
     "D1_delete_episodes", "D11_replay_to_frames", "D13_compile_rollouts", "K2_pack_videos", "P1_progress_weights", "P6_annotations",

@@ -363,40 +363,71 @@ def bounded_queue(log: DataFrame, capacity: int, keys: Sequence[str], order: str
 
     An arrival adds one up to ``capacity``, a departure takes one down to zero. Both are clamped shifts, and clamped shifts
     compose to clamped shifts, so each block of events is first reduced to one (shift, low, high), the few results are
-    chained per key, and the blocks are then filled in from their known depth. ``order`` is dense per key.
+    chained per key, and the blocks are then filled in from their known depth. A key of one block starts at 0 and is
+    filled in at once. ``order`` is dense per key; rows with a null key are left out.
     """
-    size = block_rows(log)
-    base = log.withColumn("_block", F.floor(c(order) / size))
-    fields = [log.schema[k] for k in keys]
-    long, by = T.LongType(), [*keys, "_block"]
-
-    def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-        shift, low, high = 0, 0, capacity
-        for up in pdf.sort_values(order)[arrives]:
-            d = 1 if up else -1
-            shift, low, high = shift + d, min(capacity, max(0, low + d)), min(capacity, max(0, high + d))
-        head = pdf.iloc[0]
-        return pd.DataFrame([{**{k: head[k] for k in keys}, "_block": head["_block"], "_s": shift, "_lo": low, "_hi": high}])
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, depth, out = pdf.sort_values("_block"), 0, []
-        for s, low, high in zip(pdf["_s"], pdf["_lo"], pdf["_hi"]):
-            out.append(depth)
-            depth = min(high, max(low, depth + s))
-        return pdf.assign(_from=out)[[*by, "_from"]]
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        depth, depths, drops = int(pdf["_from"].iloc[0]), [], []
-        for up in pdf[arrives]:
-            drops.append(bool(up) and depth == capacity)
-            depth = min(capacity, depth + 1) if up else max(0, depth - 1)
-            depths.append(depth)
-        return pdf.assign(depth=depths, dropped=drops)[[*keys, order, "depth", "dropped"]]
-
-    slim = base.select(*[c(n) for n in by], c(order), c(arrives))
+    size, by = block_rows(log), [*keys, "_block"]
+    slim = log.select(*[c(k) for k in keys], F.floor(c(order) / size).alias("_block"), c(order), c(arrives))
+    slim = slim.dropna(subset=by)
+    fields, long = [log.schema[k] for k in keys], T.LongType()
+
+    def firsts(pdf: pd.DataFrame, names: Sequence[str], before: tuple | None) -> tuple[list[bool], tuple]:
+        """Flags of the rows that open a group of sorted rows, and the last group; a batch may go on with the one before."""
+        groups = list(zip(*(pdf[n] for n in names)))
+        return [g != b for g, b in zip(groups, [before, *groups])], groups[-1]
+
+    def reduce(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, shift, low, high = None, 0, 0, capacity
+        for pdf in parts:
+            if pdf.empty:
+                continue
+            out, before = [], now
+            opens, now = firsts(pdf, by, before)
+            for group, new, up in zip(zip(*(pdf[n] for n in by)), opens, pdf[arrives].tolist()):
+                if new:
+                    if before is not None:
+                        out.append((*before, shift, low, high))
+                    before, shift, low, high = group, 0, 0, capacity
+                d = 1 if up else -1
+                shift, low, high = shift + d, min(capacity, max(0, low + d)), min(capacity, max(0, high + d))
+            yield pd.DataFrame(out, columns=summary.names)
+        if now is not None:
+            yield pd.DataFrame([(*now, shift, low, high)], columns=summary.names)
+
+    def chain(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, depth = None, 0
+        for pdf in parts:
+            if pdf.empty:
+                continue
+            opens, now = firsts(pdf, keys, now)
+            out = []
+            for new, s, low, high in zip(opens, pdf["_s"].tolist(), pdf["_lo"].tolist(), pdf["_hi"].tolist()):
+                depth = 0 if new else depth
+                out.append(depth)
+                depth = min(high, max(low, depth + s))
+            yield pdf.assign(_from=out)[starts.names]
+
+    def fill(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, depth = None, 0
+        for pdf in parts:
+            if pdf.empty:
+                continue
+            opens, now = firsts(pdf, by, now)
+            depths, drops = [], []
+            for new, start, up in zip(opens, pdf["_from"].tolist(), pdf[arrives].tolist()):
+                depth = start if new else depth
+                drops.append(bool(up) and depth == capacity)
+                depth = min(capacity, depth + 1) if up else max(0, depth - 1)
+                depths.append(depth)
+            yield pdf.assign(depth=depths, dropped=drops)[result.names]
+
     summary = T.StructType([*fields, *[T.StructField(n, long) for n in ("_block", "_s", "_lo", "_hi")]])
     starts = T.StructType([*fields, T.StructField("_block", long), T.StructField("_from", long)])
     result = T.StructType([*fields, log.schema[order], T.StructField("depth", long), T.StructField("dropped", T.BooleanType())])
-    chained = slim.groupBy(*by).applyInPandas(reduce, summary).groupBy(*keys).applyInPandas(chain, starts)
-    return slim.join(chained, by).groupBy(*by).applyInPandas(fill, result)
+    # Groups may be many and small: a task sorts its rows and walks through them, without a call per group.
+    several = slim.filter(F.col("_block") > 0).select(*[c(k) for k in keys]).distinct()
+    blocks = slim.join(several, list(keys), "left_semi").repartition(*[c(n) for n in by]).sortWithinPartitions(*[c(n) for n in by], c(order))
+    reduced = blocks.mapInPandas(reduce, summary).repartition(*[c(k) for k in keys]).sortWithinPartitions(*[c(n) for n in by])
+    chained = reduced.mapInPandas(chain, starts)
+    ready = slim.join(chained, by, "left").withColumn("_from", F.coalesce("_from", F.lit(0).cast("long")))
+    return ready.repartition(*[c(n) for n in by]).sortWithinPartitions(*[c(n) for n in by], c(order)).mapInPandas(fill, result)
