@@ -84,3 +84,28 @@ def test_running_stats_merge_equals_one_pass(spark, frames):
             assert merged[d][name] == pytest.approx(whole[d][name])
         for name in ("q10", "q50", "q90"):
             assert merged[d][name] == pytest.approx(whole[d][name], abs=0.01)
+
+
+def test_counted_percentiles(spark, blocks):
+    """Many equal values, negative zero, one value only, nulls; groups above the hot limit and below."""
+    rng = np.random.default_rng(5)
+    rows = [(k, float(v)) for k, n, top in ((0, 300, 4), (1, 40, 40), (2, 1, 3), (3, 11, 2)) for v in rng.integers(-2, top, n)]
+    table = spark.createDataFrame([*rows, (0, None), (4, None)], "k int, v double")
+    got = {r.k: (r.q10, r.q50, r.q90) for r in s.counted_percentiles(table, "v", (0.1, 0.5, 0.9), ["k"]).collect()}
+    want = {k: tuple(np.quantile([v for i, v in rows if i == k], (0.1, 0.5, 0.9))) for k in range(4)}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k]), k
+
+
+def test_normalisation_queries_number_the_lines_once(spark, monkeypatch):
+    """The statistics come from the frames that are normalised, whose numbering is most of the work."""
+    from tests.conftest import SF
+    from trajspark.plans import function_queries as q
+
+    calls, real = [], q.frames_lineitem
+    monkeypatch.setattr(q, "frames_lineitem", lambda *args: calls.append(1) or real(*args))
+    for query in (q.n1, q.n4, q.n5, q.tokenizer_windows):
+        calls.clear()
+        query(spark, SF)
+        assert len(calls) == 1

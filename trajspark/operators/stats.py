@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trajspark.functions.columns import c
-from trajspark.operators.layout import EPISODE, FRAME, dictionary_join, join_episodes, positions
+from trajspark.operators.layout import EPISODE, FRAME, dictionary_join, join_episodes, positions, set_checkpoint_dir, sorted_running
 
 # Fixed values of the statistics format.
 QUANTILES = (0.01, 0.10, 0.50, 0.90, 0.99)
@@ -147,19 +147,44 @@ def exact_percentiles(values: DataFrame, value: str, quantiles: Sequence[float],
     """
     key_cols = [c(k) for k in keys]
     known = values.filter(c(value).isNotNull() & ~F.isnan(c(value))).select(*key_cols, c(value).cast("double").alias("_v"))
-    sizes = known.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
+    wanted = _asked_ranks(known.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")), quantiles, keys)
+    found = positions(known, "_rank", ["_v"], keys).join(wanted, [*keys, "_rank"])
+    return found.groupBy(*key_cols).agg(
+        *[F.sum(F.when(F.col("_i") == i, F.col("_w") * F.col("_v"))).alias(quantile_key(q)) for i, q in enumerate(quantiles)]
+    )
+
+
+def _asked_ranks(sizes: DataFrame, quantiles: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    """The two ranks around each quantile and their weights, from the ``_n`` values of each key."""
     asked = []
     for i, q in enumerate(quantiles):
         at = F.lit(float(q)) * (F.col("_n") - 1)
         low = F.floor(at)
         for rank, weight in ((low, 1 - (at - low)), (F.least(low + 1, F.col("_n") - 1), at - low)):
             asked.append(F.struct(F.lit(i).alias("i"), rank.alias("rank"), weight.alias("w")))
+    key_cols = [c(k) for k in keys]
     wanted = sizes.select(*key_cols, F.explode(F.array(*asked)).alias("_a"))
-    wanted = wanted.select(*key_cols, F.col("_a.rank").alias("_rank"), F.col("_a.i").alias("_i"), F.col("_a.w").alias("_w"))
-    found = positions(known, "_rank", ["_v"], keys).join(wanted, [*keys, "_rank"])
-    return found.groupBy(*key_cols).agg(
-        *[F.sum(F.when(F.col("_i") == i, F.col("_w") * F.col("_v"))).alias(quantile_key(q)) for i, q in enumerate(quantiles)]
-    )
+    return wanted.select(*key_cols, F.col("_a.rank").alias("_rank"), F.col("_a.i").alias("_i"), F.col("_a.w").alias("_w"))
+
+
+def counted_percentiles(rows: DataFrame, value: str, quantiles: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    """``exact_percentiles`` for few keys whose values repeat: only distinct values with their counts are sorted.
+
+    Running counts tell where the ranks of a value end, and each asked rank takes the first value that ends after it. No
+    task holds more values of a key than ``spark.trajspark.hotGroupRows``. Keys must not be null.
+    """
+    set_checkpoint_dir(rows)
+    key_cols = [c(k) for k in keys]
+    counts = rows.filter(c(value).isNotNull()).groupBy(*key_cols, c(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
+    counts = counts.checkpoint()
+    ends = sorted_running(counts, {"_until": ("sum", F.col("_k"))}, ["_v"], keys).select(*key_cols, "_until", F.lit(0).alias("_asked"), "_v")
+    wanted = _asked_ranks(counts.groupBy(*key_cols).agg(F.sum("_k").alias("_n")), quantiles, keys)
+    wanted = wanted.withColumnRenamed("_rank", "_until").withColumn("_asked", F.lit(1))
+    both = ends.withColumn("_end", F.struct("_v")).drop("_v").unionByName(wanted, allowMissingColumns=True)
+    found = sorted_running(both, {"_found": ("next", F.col("_end"))}, ["_until", "_asked"], keys).filter("_asked = 1")
+    # A weight of 0 takes no value, which may be infinite.
+    part = F.when(F.col("_w") > 0, F.col("_w") * F.col("_found._v"))
+    return found.groupBy(*key_cols).agg(*[F.sum(F.when(F.col("_i") == i, part)).alias(quantile_key(q)) for i, q in enumerate(quantiles)])
 
 
 def _moments(values: DataFrame, keys: Sequence[str]) -> DataFrame:

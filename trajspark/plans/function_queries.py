@@ -18,8 +18,9 @@ IDS = "e AS episode_index, f AS frame_index"
 BOTH = ["episode_index", "frame_index"]
 
 
-def _line_stats(spark, d):
-    return n.stats_literals(s.dataset_quantiles(frames_lineitem(spark, d).frames, ACTION))
+def _line_stats(frames):
+    """Statistics of the lines; the caller's own frames, since numbering them is most of the work."""
+    return n.stats_literals(s.dataset_quantiles(frames, ACTION))
 
 
 def _dims(df, digits=6):
@@ -39,18 +40,19 @@ def lines(expr: str, digits: int = 6) -> str:
 @query("N1_normalize_mean_std", lines("(a# - m#) / (s# + 1e-8)"))
 def n1(spark, d):
     frames = frames_lineitem(spark, d).frames
-    return _dims(n.normalize(frames, ACTION, _line_stats(spark, d), {"ACTION": "MEAN_STD"}))
+    return _dims(n.normalize(frames, ACTION, _line_stats(frames), {"ACTION": "MEAN_STD"}))
 
 
 @query("N1_normalize_min_max", lines("2 * (a# - lo#) / (hi# - lo#) - 1"))
 def n1_min_max(spark, d):
     frames = frames_lineitem(spark, d).frames
-    return _dims(n.normalize(frames, ACTION, _line_stats(spark, d), {"ACTION": "MIN_MAX"}))
+    return _dims(n.normalize(frames, ACTION, _line_stats(frames), {"ACTION": "MIN_MAX"}))
 
 
 @query("N2_unnormalize", lines("a#", 4))
 def n2(spark, d):
-    frames, stats, by = frames_lineitem(spark, d).frames, _line_stats(spark, d), {"ACTION": "MIN_MAX"}
+    frames = frames_lineitem(spark, d).frames
+    stats, by = _line_stats(frames), {"ACTION": "MIN_MAX"}
     return _dims(n.unnormalize(n.normalize(frames, ACTION, stats, by), ACTION, stats, by), 4)
 
 
@@ -61,26 +63,26 @@ Q10 = "q AS (SELECT " + ", ".join(f"quantile_cont(a{i}, 0.1) AS lo{i}, quantile_
     f"round(CAST(2 * (greatest(lo{i}, least(hi{i}, a{i})) - lo{i}) / greatest(hi{i} - lo{i}, 1e-8) - 1 AS DOUBLE), 6) AS a{i}" for i in range(4)) + " FROM fr, q")
 def n3(spark, d):
     frames = frames_lineitem(spark, d).frames
-    values = s.joint_limits(frames, "action").select("dim")
-    exact = frames.select(F.posexplode("action").alias("dim", "value")).groupBy("dim").agg(
-        F.percentile("value", F.lit(0.1)).alias("q10"), F.percentile("value", F.lit(0.9)).alias("q90")
-    )
-    stats = n.stats_literals(exact.join(values, "dim").withColumn("feature", F.lit("action")))
+    values = frames.select(F.posexplode("action").alias("dim", "value"))
+    exact = s.counted_percentiles(values, "value", (0.1, 0.9), ["dim"])
+    stats = n.stats_literals(exact.withColumn("feature", F.lit("action")))
     return _dims(n.normalize_clipped(frames, "action", stats, "QUANTILE10"))
 
 
 @query("N4_normalize_padded", f"WITH {LINES}, {MEANS} SELECT {IDS}, round(CAST(2 * (a0 - lo0) / (hi0 - lo0) - 1 AS DOUBLE), 6) AS a0, CAST(0 AS DOUBLE) AS a1, round(2 * a2 - 1, 6) AS a2, round(2 * a3 - 1, 6) AS a3 FROM fr, m")
 def n4(spark, d):
-    stats = _line_stats(spark, d)["action"]
+    frames = frames_lineitem(spark, d).frames
+    stats = _line_stats(frames)["action"]
     cut = {"action": {"min": [stats["min"][0], 7.0], "max": [stats["max"][0], 7.0]}}
-    return _dims(n.normalize_padded(frames_lineitem(spark, d).frames, "action", cut, 4))
+    return _dims(n.normalize_padded(frames, "action", cut, 4))
 
 
 @query("N5_swap_stats", lines("(a# - 1) / (2 + 1e-8)"))
 def n5(spark, d):
     new = {"action": {"mean": [1.0] * 4, "std": [2.0] * 4}}
-    stats = n.swap_stats(_line_stats(spark, d), new)
-    return _dims(n.normalize(frames_lineitem(spark, d).frames, ACTION, stats, {"ACTION": "MEAN_STD"}))
+    frames = frames_lineitem(spark, d).frames
+    stats = n.swap_stats(_line_stats(frames), new)
+    return _dims(n.normalize(frames, ACTION, stats, {"ACTION": "MEAN_STD"}))
 
 
 @query("N6_discretize", f"""WITH {EVENTS}, x AS (SELECT *, k / 40.0 - 1.2 AS x FROM fr)
@@ -305,7 +307,7 @@ SELECT a.e AS episode_index, a.f AS frame_index, CAST(h.pos AS INTEGER) AS pos,
 def tokenizer_windows(spark, d):
     frames = frames_lineitem(spark, d).frames
     chunks = w.action_chunks(frames, 3)
-    out = n.normalize_clipped(chunks, "chunk", {"chunk": _line_stats(spark, d)["action"]}, "MIN_MAX")
+    out = n.normalize_clipped(chunks, "chunk", {"chunk": _line_stats(frames)["action"]}, "MIN_MAX")
     return out.select(*BOTH, F.posexplode("chunk").alias("pos", "_r")).select(*BOTH, "pos", F.round(F.col("_r")[0], 6).alias("x"))
 
 
