@@ -244,3 +244,14 @@ def test_pack_videos_query_numbers_files_over_chunks(spark, monkeypatch):
     monkeypatch.setattr(q, "frames_events", lambda spark, d: SimpleNamespace(episodes=episodes))
     got = {r.episode_index: r.file_index for r in q.k2(spark, "").collect()}
     assert got == {e: e for e in range(1003)}
+
+
+def test_convert_legacy_opens_the_files_once_for_their_sizes(spark, tmp_path, monkeypatch):
+    """The sizes of the episodes are kept, so their plan reads no files; an episode without metadata is still an error."""
+    from trajspark.plans import io_queries as q
+
+    root = q.older_layout(spark, "/root/testdata/sf0.001")
+    seen, real = [], io.pack_files
+    monkeypatch.setattr(io, "pack_files", lambda df, *args, **kw: seen.append(df) or real(df, *args, **kw))
+    io.convert_legacy(spark, root, str(tmp_path / "out"), max_mb=0.5)
+    assert f"{root}/data" not in seen[0]._jdf.queryExecution().toString() and not seen[0].inputFiles()

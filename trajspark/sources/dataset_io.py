@@ -20,7 +20,7 @@ from trajspark.dataset import CHUNK_FILES, DATA_FILE_MB, FORMAT_VERSION, VIDEO_F
 from trajspark.functions.columns import block_of, c
 from trajspark.functions.text import path_number
 from trajspark.operators.algebra import lay_out, new_episode_parts
-from trajspark.operators.layout import EPISODE, FRAME, block_rows, join_episodes, positions
+from trajspark.operators.layout import EPISODE, FRAME, block_rows, join_episodes, positions, set_checkpoint_dir
 from trajspark.operators.packing import pack_files
 from trajspark.operators.schema import SHORT_LIST, filter_episodes, infer_features
 from trajspark.operators.stats import combine_stats, stats_to_frame
@@ -351,6 +351,9 @@ def convert_legacy(spark: SparkSession, root: str, out: str, max_mb: float = DAT
     sizes = frames.groupBy(F.col("_file_episode").alias(EPISODE)).agg(
         F.count(F.lit(1)).alias("length"), F.max(F.col("_metadata.file_size")).alias("_bytes")
     )
+    # One row per episode, kept: each use would open all files again.
+    set_checkpoint_dir(frames)
+    sizes = sizes.checkpoint()
     if sizes.isEmpty():
         raise ValueError(f"no episode files under {root}/data")
     for name, other in (("metadata", old.episodes), ("statistics", old.episode_stats)):
