@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +105,24 @@ def test_other_thresholds(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for percent in (50, 90):
         assert answer(op.find(docs, percent=percent)) == brute(rows, percent)
+
+
+def test_near_copies_without_links_make_few_pairs(spark):
+    """Copies that share most shingles, but not enough of them, are not handed to the verification pair by pair."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(80):
+        copy = [f"w{k}" for k in range(200)]
+        for at in range(10, 200, 20):
+            copy[at] = f"x{rng.randrange(3)}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    none = np.empty(0, dtype=np.uint64)
+    sets = op.stored(op.shared_tokens(op.frequencies(docs, "text", 5, none, none, 64), 80), "test-sets")
+    index = op._entries(sets)
+    met = index.alias("l").join(index.alias("r"), (F.col("l.token") == F.col("r.token")) & (F.col("l.sid") < F.col("r.sid")) & op._may_link(80, "l", "r"))
+    got = {(r["a"], r["b"]) for r in met.select(F.col("l.sid").alias("a"), F.col("r.sid").alias("b")).distinct().collect()}
+    held = {op._sid(t): set(t.tolist()) for t in (op.tokens_of(text, op._Words()) for _, text in rows)}
+    linked = {(a, b) for a in held for b in held if a < b and 100 * len(held[a] & held[b]) >= 80 * len(held[a] | held[b])}
+    print(len(got), len(linked), len(rows))
+    assert linked <= got and len(got) <= 2 * len(linked) + len(rows)

@@ -5,7 +5,8 @@ same order, their first ``n - ceil(t n) + 1`` tokens share one, whatever the ord
 first, so that passages of many documents come last; they differ in how tokens of like frequency follow each other. The
 first order makes the candidates by an inverted index; those of the other two travel as bit sets of the prefix, and a
 candidate pair must have a bit in common under each of them, besides sizes and a place of the shared token that still allow
-the similarity. What passes is verified on the tokens that the sets can have in common.
+the similarity. Tokens of one set only, and places of two parity bit maps that differ, are tokens that the pair does not share;
+there may be at most ``(100 - t) / (100 + t)`` of both sizes. What passes is verified on the tokens that the sets can have in common.
 
 1. ``token_sets``: per document the 128-bit hash of its token set (equal sets are one class from here on), and the tokens
    that many documents of a task share, whose number has a bound.
@@ -61,6 +62,9 @@ ABOVE = 1 << 40
 WORDS = 400_000
 PRIMES = [np.uint64(p) for p in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 BITS = ("b0", "b1", "c0", "c1")
+#: Parities of a set's shared tokens by 64 * len(PARITY) places.
+PARITY = ("x0", "x1", "x2", "x3", "x4", "x5", "x6", "x7")
+MARKS = (*BITS, "alone", *PARITY)
 
 
 class _Words(dict):
@@ -239,7 +243,7 @@ def shared_tokens(counted: DataFrame, percent: int) -> DataFrame:
 
         first, at = prefix(token, often)
         width = np.log2(often.astype(np.float64)).astype(np.int64)
-        bits = []
+        bits, parities = [], []
         for key, classes in ((_mixed(token, PRIMES[1]), width), (_mixed(token, PRIMES[2]), width // 2)):
             entry, _ = prefix(key, classes)
             spot = _mixed(token[entry], PRIMES[0]) & np.uint64(127)
@@ -248,6 +252,12 @@ def shared_tokens(counted: DataFrame, percent: int) -> DataFrame:
                 mine = (spot >> np.uint64(6)) == half
                 np.bitwise_or.at(held, place[entry[mine]], np.uint64(1) << (spot[mine] & np.uint64(63)))
                 bits.append(held.view(np.int64))
+        spot = _mixed(token ^ PRIMES[1], PRIMES[2]) % np.uint64(64 * len(PARITY))
+        for word in range(len(PARITY)):
+            held = np.zeros(len(n), dtype=np.uint64)
+            mine = (spot >> np.uint64(6)) == word
+            np.bitwise_xor.at(held, place[mine], np.uint64(1) << (spot[mine] & np.uint64(63)))
+            parities.append(held.view(np.int64))
         rest = n[place[first]] - alone[place[first]] - at  # tokens from the entry on
         keep = np.flatnonzero(room > 0)
         starts = np.searchsorted(place[first], keep)
@@ -258,32 +268,36 @@ def shared_tokens(counted: DataFrame, percent: int) -> DataFrame:
         listed = [token_sorted[ends[i] - known[i] : ends[i]].tobytes() for i in full.tolist()]
         lists = [[x[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)] for x in (token[first].view(np.int64), rest)]
         columns = [pa.array([sids[i] for i in full.tolist()], pa.binary()), pa.array(n[full]), pa.array(listed, pa.binary())]
-        columns += [pa.array(x, pa.list_(pa.int64())) for x in lists] + [pa.array(b[full]) for b in bits]
-        return pa.table(columns, names=["sid", "n", "tokens", "entry", "rest", *BITS])
+        columns += [pa.array(x, pa.list_(pa.int64())) for x in lists] + [pa.array(b[full]) for b in (*bits, alone, *parities)]
+        return pa.table(columns, names=["sid", "n", "tokens", "entry", "rest", *MARKS])
 
-    schema = "sid binary, n long, tokens binary, entry array<long>, rest array<long>, " + ", ".join(f"{b} long" for b in BITS)
+    schema = "sid binary, n long, tokens binary, entry array<long>, rest array<long>, " + ", ".join(f"{b} long" for b in MARKS)
     return counted.groupBy("chunk").applyInArrow(assemble, schema).dropDuplicates(["sid"])
 
 
 def _may_link(percent: int, a: str, b: str):
-    """Sizes, places and prefixes under the other orders allow the similarity."""
+    """Sizes, places, prefixes under the other orders and the tokens known to differ allow the similarity."""
     both = (F.col(f"{a}.n") + F.col(f"{b}.n")) * percent
     reach = F.least(f"{a}.rest", f"{b}.rest") * (100 + percent)
     ok = reach >= both
     for x, y in (BITS[:2], BITS[2:]):
         ok = ok & ((F.col(f"{a}.{x}").bitwiseAND(F.col(f"{b}.{x}")) != 0) | (F.col(f"{a}.{y}").bitwiseAND(F.col(f"{b}.{y}")) != 0))
-    return ok
+    # A token of both sets leaves no trace in the difference of their parities, one of a single set flips one place.
+    differ = F.col(f"{a}.alone") + F.col(f"{b}.alone")
+    for x in PARITY:
+        differ = differ + F.bit_count(F.col(f"{a}.{x}").bitwiseXOR(F.col(f"{b}.{x}")))
+    return ok & (differ * (100 + percent) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - percent))
 
 
 def _entries(sets: DataFrame) -> DataFrame:
     at = F.explode(F.arrays_zip("entry", "rest")).alias("e")
-    rows = sets.select("sid", "n", *BITS, at).select(F.col("e.entry").alias("token"), "sid", "n", F.col("e.rest").alias("rest"), *BITS)
+    rows = sets.select("sid", "n", *MARKS, at).select(F.col("e.entry").alias("token"), "sid", "n", F.col("e.rest").alias("rest"), *MARKS)
     return stored(rows, "jaccard-index")
 
 
 def pivot_pairs(index: DataFrame, percent: int) -> DataFrame:
     """Each entry with the pivots of its token: the sets with the least values of PIVOTS hashes, so near copies share few."""
-    own = F.struct("sid", "n", "rest", *BITS)
+    own = F.struct("sid", "n", "rest", *MARKS)
     least = [F.min(F.struct(F.xxhash64("sid", F.lit(k)).alias("h"), own.alias("row"))) for k in range(PIVOTS)]
     pivots = index.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.array(*least).alias("p")).filter("k > 1")
     pivots = stored(pivots.select("token", "k", F.array_distinct(F.transform("p", lambda x: x["row"])).alias("p")), "jaccard-pivots")
