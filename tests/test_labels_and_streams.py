@@ -237,3 +237,20 @@ def test_draws_are_uniform_and_the_same_everywhere(spark):
     assert sum((n - 1000) ** 2 / 1000 for n in counts) < 50  # chi-square with 19 degrees of freedom
     crops = sm.random_crop_plan(spark.range(500).withColumnRenamed("id", "index"), 8, 9, 6, 5, 1).collect()
     assert {r["crop_top"] for r in crops} == {0, 1, 2} and {r["crop_left"] for r in crops} == {0, 1, 2, 3, 4}
+
+
+def test_shards_compute_their_frames_once(spark):
+    from trajspark.plans.stream_queries import shards
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for pdf in parts:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = spark.range(90).select(F.lit(0).cast("long").alias("episode_index"), F.col("id").alias("frame_index"))
+    stream, folder = shards(spark, rows.mapInPandas(count, rows.schema))
+    written = spark.read.parquet(f"{folder}/shards")
+    assert seen.value == 90 and stream.isStreaming
+    assert sorted(r.frame_index for r in written.collect()) == list(range(90))

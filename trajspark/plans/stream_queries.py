@@ -24,8 +24,13 @@ def scratch(spark) -> str:
 
 
 def shards(spark, frames: DataFrame, order: str = "frame_index", n: int = 3) -> tuple[DataFrame, str]:
-    """Frames written as shards in ``order``, one after the other as a recorder would, and the stream reading them."""
+    """Frames written as shards in ``order``, one after the other as a recorder would, and the stream reading them.
+
+    The frames are computed once and kept; the cuts and each shard read them back.
+    """
     folder = scratch(spark)
+    frames.write.parquet(f"{folder}/frames")
+    frames = spark.read.schema(frames.schema).parquet(f"{folder}/frames")
     rank = F.unix_micros(c(order)) if dict(frames.dtypes)[order] == "timestamp" else c(order)
     cuts = frames.select(F.percentile_approx(rank, [i / n for i in range(1, n)])).first()[0]
     for low, high in zip([None, *cuts], [*cuts, None]):
