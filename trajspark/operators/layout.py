@@ -30,6 +30,8 @@ SALTS_CONF = "spark.trajspark.salts"
 DEFAULT_BLOCK_ROWS = 65_536
 DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_SALTS = 32
+# Texts of up to this many bytes are sent to every task instead of shuffling the frames to them.
+DICTIONARY_BYTES = 8 << 20
 
 
 def _conf(df: DataFrame, name: str, default: int) -> int:
@@ -41,6 +43,11 @@ def block_rows(df: DataFrame, at_least: int = 1) -> int:
     return max(_conf(df, BLOCK_ROWS_CONF, DEFAULT_BLOCK_ROWS), at_least)
 
 
+def hot_rows(df: DataFrame) -> int:
+    """Rows above which a group is hot."""
+    return _conf(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
+
+
 def with_halo(df: DataFrame, before: int, after: int, keys: Sequence[str] = (EPISODE,), order: str = FRAME) -> tuple:
     """Add ``_block`` and copy edge rows so that each row sees ``before`` rows back and ``after`` rows ahead.
 
@@ -196,6 +203,24 @@ def dictionary_join(
     return rows.withColumn("_salt", salt).join(salted, [*keys, "_salt"], how).drop("_salt")
 
 
+def join_numbered(frames: DataFrame, episodes: DataFrame, key: str, longest: int) -> DataFrame:
+    """``join_episodes`` for frames that ``positions`` has numbered within ``key``.
+
+    If no group is hot they lie by key already and meet the episode table there; blocks would shuffle them again.
+    """
+    if longest > hot_rows(frames):
+        return join_episodes(frames, episodes, keys=(key,))
+    return frames.join(episodes.drop("length") if "length" in frames.columns else episodes, key)
+
+
+def text_join(rows: DataFrame, entries: DataFrame, on: str, salt_by: Sequence[str], how: str = "left") -> DataFrame:
+    """``dictionary_join`` to texts that are kept: their bytes, not an estimate, tell whether they are broadcast."""
+    held = entries.agg(F.sum(F.octet_length(c(on)) + 16)).first()[0] or 0
+    if held > DICTIONARY_BYTES:
+        return dictionary_join(rows, entries, on, salt_by, how)
+    return rows.join(F.broadcast(entries), on, how)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``. Only a local session, as in tests, may go without and gets a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trajspark.dataset import DEFAULT_FEATURES, EpisodicDataset
 from trajspark.functions.columns import c
-from trajspark.operators.layout import dictionary_join, join_episodes, positions, running
+from trajspark.operators.layout import dictionary_join, hot_rows, join_numbered, positions, running, set_checkpoint_dir, text_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,20 +35,26 @@ def build_frames(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Turn ordered rows into frames, episodes and tasks.
 
-    ``extra`` holds per-episode aggregates to carry to every frame. The raw rows are shuffled once, for the order; the
-    episode table joins back on ``(key, block)``. The row count, which Parquet answers from its footers, bounds all three
-    tables and decides whether hot groups have to be looked for.
+    ``extra`` holds per-episode aggregates to carry to every frame. The row count, which Parquet answers from its footers,
+    bounds all three tables. Above ``spark.trajspark.hotGroupRows`` the table of keys and the texts are kept, so that the raw
+    rows are not grouped again for each use, and the longest group decides: without a hot group the raw rows are shuffled
+    once, by key, and the episode table meets them there; otherwise it joins back on ``(key, block)``.
     """
     rows = raw.count()
-    ordered = positions(raw, "frame_index", order, [key], at_most=rows)
     per_key = raw.groupBy(c(key)).agg(
         F.count(F.lit(1)).alias("length"), *[e.alias(n) for n, e in (extra or {}).items()]
     )
+    tasks = task_dictionary(raw, task, rows)
+    longest, to_task = rows, dictionary_join
+    if rows > hot_rows(raw):
+        set_checkpoint_dir(raw)
+        per_key, tasks, to_task = per_key.checkpoint(), tasks.checkpoint(), text_join
+        longest = per_key.agg(F.max("length")).first()[0]
+    ordered = positions(raw, "frame_index", order, [key], at_most=longest)
     episodes = dense_episodes(per_key, key, rows)
-    frames = join_episodes(ordered, episodes, keys=(key,))
+    frames = join_numbered(ordered, episodes, key, longest)
     frames = frames.withColumn("index", F.col("dataset_from_index") + F.col("frame_index"))
-    tasks = task_dictionary(raw, task, rows)
-    frames = dictionary_join(frames, tasks.withColumnRenamed("task", task), task, ["index"])
+    frames = to_task(frames, tasks.withColumnRenamed("task", task), task, ["index"])
     return frames, episodes, tasks
 
 
