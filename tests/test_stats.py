@@ -109,3 +109,49 @@ def test_normalisation_queries_number_the_lines_once(spark, monkeypatch):
         calls.clear()
         query(spark, SF)
         assert len(calls) == 1
+
+
+def test_short_episodes_equal_the_bins_of_long_ones(spark, monkeypatch):
+    """Episodes worked out as one row give what ranges and bins give: ties, nulls, NaN, infinities, single and null rows."""
+    nan, inf = float("nan"), float("inf")
+    rng = np.random.default_rng(3)
+    episodes = [rng.normal(size=(37, 2)).tolist(), [[1.0, 2.0]], [[None, 1.0], [3.0, None], [3.0, 3.0]], [[None, 5.0], [None, 5.0]]]
+    episodes += [[[nan, 1.0], [2.0, inf], [0.5, -1.0]], [[-inf, 1e9], [1.0, 1e9], [2.0, 1e9 + 1]], rng.integers(0, 4, (20, 2)).astype(float).tolist()]
+    rows = [(e, f, x) for e, xs in enumerate(episodes) for f, x in enumerate(xs)] + [(7, 0, None), (None, 0, [1.0, 1.0])]
+    frames = spark.createDataFrame(rows, "episode_index long, frame_index long, `observation.state` array<double>")
+
+    def got():
+        return sorted(tuple("nan" if x != x else x if isinstance(x, str) else round(x, 9) for x in r) for r in s.episode_stats(frames, STATE).collect())
+
+    short = got()
+    monkeypatch.setattr(s, "TILE_NUMBERS", 1)
+    assert short == got()
+
+
+def test_sampled_frames_lists_no_positions(spark, blocks):
+    lengths = [0, 1, 5, 100, 101, 130, 1000, 2345]
+    rows = [(e, f) for e, n in enumerate(lengths) for f in range(n)]
+    frames = spark.createDataFrame(rows, "episode_index long, frame_index long").repartition(5)
+    episodes = spark.createDataFrame([*enumerate(lengths), (99, 3), (None, 3), (5, 130), (6, None)], "episode_index long, length long")
+    out = s.sampled_frames(frames, episodes)
+    want = [(e, i) for e, n in enumerate(lengths) if n for i in np.unique(np.round(np.linspace(0, n - 1, max(min(100, n), min(int(n**0.75), 10000)))).astype(int))]
+    assert sorted((r.episode_index, r.frame_index) for r in out.collect()) == want
+    plan = out._jdf.queryExecution().toString()
+    assert "Aggregate" not in plan and "transform" not in plan
+
+
+@pytest.mark.parametrize("hot", [3, 500, 2_000_000])
+def test_frames_are_shuffled_once_without_a_hot_group(spark, hot):
+    """The same frames whether a group is hot, none is, or the table is too small for one; texts are not salted unless it is small."""
+    from tests.conftest import SF
+    from trajspark.sources.adapters import frames_events
+
+    spark.conf.set("spark.trajspark.hotGroupRows", str(hot))
+    try:
+        frames = frames_events(spark, SF).frames
+        got = sorted(map(str, frames.collect()))
+        plan = frames._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.trajspark.hotGroupRows")
+    assert ("_salt" in plan) == (hot == 2_000_000) and ("_block" in plan) == (hot == 3)
+    assert got == sorted(map(str, frames_events(spark, SF).frames.collect()))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trajspark.functions.columns import c
-from trajspark.operators.layout import EPISODE, FRAME, dictionary_join, join_episodes, positions, set_checkpoint_dir, sorted_running
+from trajspark.functions.columns import block_of, c
+from trajspark.operators.layout import EPISODE, FRAME, block_rows, dictionary_join, join_episodes, positions, set_checkpoint_dir, sorted_running
 
 # Fixed values of the statistics format.
 QUANTILES = (0.01, 0.10, 0.50, 0.90, 0.99)
@@ -16,6 +18,8 @@ BINS = 5000
 EDGE = 1e-10
 WIDE_SLOTS = 32  # up to this many numbers per frame, ranges are aggregated without exploding
 STATS = ("min", "max", "mean", "std", "count")
+TILE_NUMBERS = 1024  # episodes with fewer numbers are worked out as one row
+TILES_AT_ONCE = 1000
 
 
 def quantile_key(q: float) -> str:
@@ -213,12 +217,70 @@ def _episode_ranges(flat: DataFrame, slots: int) -> DataFrame:
     return per_episode.withColumn("_r", F.transform("_r", lambda r: F.struct(r["min"].alias("min"), r["max"].alias("max"))))
 
 
+def _stats_of_groups(key: np.ndarray, x: np.ndarray, quantiles: Sequence[float], bins: int = BINS) -> list[np.ndarray]:
+    """The columns of ``stats_from_bins`` for numbers ``x`` of groups ``key``, the groups in order before them.
+
+    The bin in which the running count first reaches ``q * n`` is that of the number of rank ``ceil(q * n)``.
+    """
+    order = np.lexsort((x, key))
+    key, x = key[order], x[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    n = np.diff(np.r_[starts, len(key)])
+    group = np.repeat(np.arange(len(n)), n)
+    low, high = x[starts], x[starts + n - 1]  # NaN is the largest, as in Spark
+    off = x - low[group]
+    lo, hi = low - EDGE, high + EDGE
+    at = np.floor((x - lo[group]) / (hi - lo)[group] * bins)
+    at = np.where((hi == lo)[group] | np.isnan(at), 0, np.clip(at, 0, bins - 1)).astype(np.int64)
+    shift = np.add.reduceat(off, starts) / n
+    mean, few = low + shift, n < 2
+    std = np.sqrt(np.maximum(0.0, np.add.reduceat(off * off, starts) / n - shift * shift))
+    width, place = (hi - lo) / bins, group * bins + at
+    out = [key[starts], low, high, mean, np.where(few, 0.0, std), n]
+    for q in quantiles:
+        b = at[starts + np.maximum(np.ceil(q * n).astype(np.int64), 1) - 1]
+        wanted = np.arange(len(n)) * bins + b
+        cum, before = (np.searchsorted(place, wanted, side) - starts for side in ("right", "left"))
+        inside = np.where(b == 0, lo, lo + b * width + (q * n - before) / (cum - before) * width)
+        out.append(np.where(few, mean, inside))
+    return out
+
+
+def _tile_stats(tiles: DataFrame, quantiles: Sequence[float]) -> DataFrame:
+    """Statistics per (episode, slot) of episodes that are one row each, with their frames in ``_xs``."""
+    names = [quantile_key(q) for q in quantiles]
+    schema = f"{EPISODE} {tiles.schema[EPISODE].dataType.simpleString()}, slot int, min double, max double, mean double, std double, count long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(all="ignore"):
+            for whole in batches:
+                for first in range(0, whole.num_rows, TILES_AT_ONCE):
+                    batch = whole.slice(first, TILES_AT_ONCE)
+                    tile = batch.column(1)
+                    frames = tile.flatten()
+                    width = frames.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                    owner = np.repeat(np.arange(batch.num_rows), tile.value_lengths().to_numpy(zero_copy_only=False))
+                    values = frames.flatten()
+                    slot = np.arange(len(values)) - np.repeat(np.cumsum(width) - width, width)
+                    known = values.is_valid().to_numpy(zero_copy_only=False)
+                    if not known.any():
+                        continue
+                    slots = int(width.max())
+                    key = (np.repeat(owner, width) * slots + slot)[known]
+                    at, *rest = _stats_of_groups(key, values.filter(values.is_valid()).to_numpy(), quantiles)
+                    columns = [batch.column(0).take(pa.array(at // slots)), pa.array(at % slots, pa.int32()), *map(pa.array, rest)]
+                    yield pa.RecordBatch.from_arrays(columns, [EPISODE, "slot", *STATS, *names])
+
+    return tiles.select(EPISODE, "_xs").mapInArrow(run, schema + "".join(f", {n} double" for n in names))
+
+
 def episode_stats(
     frames: DataFrame, features: Mapping[str, Mapping], quantiles: Sequence[float] = QUANTILES, mode: str = "histogram"
 ) -> DataFrame:
     """Statistics per (episode, feature, dim).
 
-    Two passes over the numeric columns: ranges, then bins, both combined on the map side. Ranges return to the frames on
+    Frames are gathered once into tiles of at most ``TILE_NUMBERS`` numbers. An episode with less than a tile is worked out
+    there. Longer ones take two passes: ranges, then bins, both combined on the map side. Ranges return to the frames on
     ``(episode, block)``, so a very long episode is spread over tasks in both. ``mode='exact'`` replaces the histogram
     quantiles by exact percentiles.
     """
@@ -230,10 +292,18 @@ def episode_stats(
         values = flat.select(EPISODE, F.posexplode("_x").alias("slot", "value"))
         stats = _moments(values, keys).join(exact_percentiles(values, "value", quantiles, keys), keys)
     else:
+        rows = max(1, min(block_rows(frames), TILE_NUMBERS // max(1, len(slots))))
+        tiles = flat.groupBy(EPISODE, block_of(c(FRAME), rows).alias("_tile")).agg(
+            F.collect_list(F.struct(FRAME, "_x")).alias("_f"), F.count(F.lit(1)).alias("_n")
+        )
+        # Frame numbers are dense: a first tile that is not full is the whole episode.
+        short = F.col(EPISODE).isNotNull() & (F.col("_tile") == 0) & (F.col("_n") < rows)
+        whole = tiles.filter(short).select(EPISODE, F.expr("filter(transform(_f, f -> f._x), x -> x IS NOT NULL)").alias("_xs"))
+        flat = tiles.filter(~short).select(EPISODE, F.explode("_f").alias("_f")).select(EPISODE, "_f.*")
         sized = join_episodes(flat, _episode_ranges(flat, len(slots)), length="_length")
         with_range = F.zip_with("_x", "_r", lambda x, r: F.struct(x.alias("value"), r["min"].alias("lo"), r["max"].alias("hi")))
         rows = sized.select(EPISODE, F.posexplode(with_range).alias("slot", "_v")).select(*keys, "_v.*")
-        stats = stats_from_bins(bin_counts(rows, keys), keys, quantiles)
+        stats = stats_from_bins(bin_counts(rows, keys), keys, quantiles).unionByName(_tile_stats(whole, quantiles))
     return name_slots(stats, slots).select(EPISODE, "feature", "dim", *STATS, *[quantile_key(q) for q in quantiles])
 
 
@@ -368,9 +438,24 @@ def sample_indices(n: Column) -> Column:
 
 
 def sampled_frames(frames: DataFrame, episodes: DataFrame) -> DataFrame:
-    """Frames at the sampled positions of each episode; at most 10000 positions per episode, joined by position."""
-    asked = episodes.select(EPISODE, F.explode(sample_indices(F.col("length"))).alias(FRAME)).distinct()
-    return frames.join(asked, [EPISODE, FRAME], "left_semi")
+    """Frames at the sampled positions of each episode, at most 10000.
+
+    The positions ``rint(i * step)`` are at least 1 apart, so a frame tells by itself which ``i`` could have given it. Only
+    lengths are joined, on ``(episode, block)``; no list of positions is made.
+    """
+    size = block_rows(frames)
+    lengths = episodes.select(EPISODE, F.col("length").alias("_n"))
+    lengths = lengths.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), block_of(F.greatest("_n", F.lit(1)) - 1, size))))
+    k, at = sample_size(F.col("_n")), F.col("f." + FRAME)
+    step = F.when(k > 1, (F.col("_n") - 1) / (k - 1)).otherwise(F.lit(0.0))
+    near = F.when(step > 0, F.floor(at / step)).otherwise(F.lit(0))
+    hit = F.lit(False)
+    for away in (-1, 0, 1):
+        i = near + away
+        hit = hit | ((i >= 0) & (i < k) & (F.rint(i * step).cast("long") == at))
+    blocked = frames.withColumn("_block", block_of(c(FRAME), size)).alias("f")
+    same = [F.col(f"f.{x}") == F.col(f"l.{x}") for x in (EPISODE, "_block")]
+    return blocked.join(lengths.alias("l"), [*same, hit], "left_semi").drop("_block")
 
 
 # ---------------------------------------------------------------- rollouts and timing
