@@ -107,7 +107,13 @@ def older_layout(spark, d) -> str:
     """Event episodes in the older layout: one folder of frames per episode and JSON-lines metadata."""
     ds, root = frames_events(spark, d), scratch(spark)
     name = F.format_string("episode_%06d", "episode_index")
-    ds.frames.drop("task", "episode_length", "index").withColumn("part", name).repartition("part").write.partitionBy("part").parquet(f"{root}/data")
+    # Three parts are made of the frames; each would number them again.
+    kept = f"{scratch(spark)}/frames"
+    ds.frames.write.parquet(kept)
+    ds = ds.with_(frames=spark.read.parquet(kept))
+    files = ds.frames.drop("task", "episode_length", "index").withColumn("part", name).repartition("part").write
+    # The tasks move their files into place; the driver would move one after the other.
+    files.partitionBy("part").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{root}/data")
     used = ds.frames.groupBy("episode_index").agg(F.sort_array(F.collect_set("task")).alias("tasks"), F.count(F.lit(1)).alias("length"))
     used.write.json(f"{root}/meta/episodes.jsonl")
     names = ["min", "max", "mean", "std", "count"]
