@@ -170,6 +170,44 @@ def test_pack_groups_of_many_tiny_items(spark):
         spark.conf.unset("spark.trajspark.blockRows")
 
 
+def test_many_small_files(spark, dataset, tmp_path):
+    """Each episode is a file: several tasks write them, a few tasks list their folders, an append goes through its rows four times."""
+    n, root = 40, str(tmp_path / "ds")
+    rows = spark.range(n).select(
+        F.col("id").alias("episode_index"), F.lit(0).cast("long").alias("frame_index"), F.col("id").alias("index"), F.lit(0).cast("long").alias("task_index"), F.lit(0.0).cast("float").alias("timestamp")
+    )
+    episodes = spark.range(n).select(
+        F.col("id").alias("episode_index"), F.lit(1).cast("long").alias("length"), F.col("id").alias("dataset_from_index"), (F.col("id") + 1).alias("dataset_to_index")
+    )
+    io.write_dataset(dataset.with_(frames=rows, episodes=episodes, info={"fps": 10}), root, max_mb=0.5, bytes_per_frame=600_000)
+    files = [f for f in (tmp_path / "ds" / "data").rglob("part-*.parquet")]
+    assert len(files) == n and len({f.name.split("-")[1] for f in files}) > 1
+
+    sc = spark.sparkContext
+    conf, group = io.LISTING_CONF, f"listing {root}"
+    before = spark.conf.get(conf)
+    sc.setJobGroup(group, group)
+    read = io.read_dataset(spark, root)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    assert 1 <= max(tasks) <= 2 * sc.defaultParallelism < n
+    assert read.frames.count() == n and spark.conf.get(conf) == before
+
+    seen = sc.accumulator(0)
+
+    def count(parts):
+        for pdf in parts:
+            seen.add(len(pdf))
+            yield pdf
+
+    recorded = spark.range(n).select((F.col("id") % 10).alias("key"), F.col("id").alias("t"), F.concat(F.lit("new_"), F.col("id") % 3).alias("task"))
+    grown = io.append_dataset(spark, root, recorded.mapInPandas(count, recorded.schema), "key", ["t"])
+    assert seen.value <= 4 * n
+    assert [r[0] for r in grown.frames.orderBy("index").select("index").collect()] == list(range(2 * n))
+    assert [tuple(r) for r in grown.tasks.orderBy("task_index").collect()] == [(0, "task_0"), (1, "task_1"), (2, "new_0"), (3, "new_1"), (4, "new_2")]
+
+
 def test_round_trip_append_publish(spark, dataset, lengths, tmp_path, blocks):
     root = str(tmp_path / "ds")
     ds = io.write_dataset(dataset, root, max_mb=0.001, bytes_per_frame=40)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from trajspark.dataset import CHUNK_FILES, EpisodicDataset
 from trajspark.functions.columns import c
-from trajspark.operators.layout import EPISODE, FRAME, dictionary_join, join_episodes, look_around, positions, running
+from trajspark.operators.layout import EPISODE, FRAME, dictionary_join, join_episodes, look_around, positions, running, set_checkpoint_dir
 from trajspark.operators.schema import compat_problems
 from trajspark.operators.stats import combine_stats, episode_stats
 
@@ -303,13 +303,15 @@ def new_episode_parts(
     last = ds.episodes.agg(F.coalesce(F.max(EPISODE) + 1, F.lit(0)), F.coalesce(F.max("dataset_to_index"), F.lit(0))).first()
     first_episode, first_index = int(last[0]), int(last[1])
     framed = positions(rows, FRAME, order, [key])
-    lengths = rows.groupBy(c(key)).agg(F.count(F.lit(1)).alias("length"))
+    # The lengths and the texts seen are kept: each use would go through all rows again.
+    set_checkpoint_dir(rows)
+    lengths = rows.groupBy(c(key)).agg(F.count(F.lit(1)).alias("length")).checkpoint()
     laid = lay_out(positions(lengths, EPISODE, [key]), first_index)
     plan = laid.select(c(key), F.col(EPISODE).alias("_e"), "dataset_from_index", "length")
     framed = join_episodes(framed, plan, keys=(key,)).withColumns(
         {EPISODE: F.col("_e") + first_episode, "index": F.col("dataset_from_index") + F.col(FRAME)}
     )
-    seen = framed.groupBy("task").agg(F.min("index").alias("_order"))
+    seen = framed.groupBy("task").agg(F.min("index").alias("_order")).checkpoint()
     tasks = register_tasks(ds.tasks, seen)
     framed = dictionary_join(framed, tasks, "task", ["index"], "inner")
     if "timestamp" not in rows.columns:

@@ -43,6 +43,10 @@ def block_rows(df: DataFrame, at_least: int = 1) -> int:
     return max(_conf(df, BLOCK_ROWS_CONF, DEFAULT_BLOCK_ROWS), at_least)
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return _conf(df, "spark.sql.shuffle.partitions", 200)
+
+
 def hot_rows(df: DataFrame) -> int:
     """Rows above which a group is hot."""
     return _conf(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
@@ -288,7 +292,7 @@ def positions(
         return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
 
     set_checkpoint_dir(df)
-    parts = max(_conf(df, "spark.sql.shuffle.partitions", 200), -(-df.count() // hot_rows))
+    parts = max(shuffle_partitions(df), -(-df.count() // hot_rows))
     tie = F.xxhash64(*[c(f.name) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")])
     order_cols = [*order_cols, F.col("_tie")]
     ranged = df.withColumn("_tie", tie).repartitionByRange(parts, *key_cols, *order_cols)

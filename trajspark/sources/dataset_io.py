@@ -12,7 +12,7 @@ import json
 import warnings
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,13 +20,16 @@ from trajspark.dataset import CHUNK_FILES, DATA_FILE_MB, FORMAT_VERSION, VIDEO_F
 from trajspark.functions.columns import block_of, c
 from trajspark.functions.text import path_number
 from trajspark.operators.algebra import lay_out, new_episode_parts
-from trajspark.operators.layout import EPISODE, FRAME, block_rows, join_episodes, positions, set_checkpoint_dir
+from trajspark.operators.layout import EPISODE, FRAME, block_rows, join_episodes, positions, set_checkpoint_dir, shuffle_partitions
 from trajspark.operators.packing import pack_files
 from trajspark.operators.schema import SHORT_LIST, filter_episodes, infer_features
 from trajspark.operators.stats import combine_stats, stats_to_frame
 
 DATA_PATH = "data/chunk-{chunk_index:03d}/file-{file_index:03d}.parquet"
 VIDEO_PATH = "videos/{video_key}/chunk-{chunk_index:03d}/file-{file_index:03d}.mp4"
+LISTING_CONF = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+# A small file costs its opening and closing, whatever it holds; a task writes about this many.
+FILES_PER_TASK = 32
 
 
 # ---------------------------------------------------------------- metadata files
@@ -97,12 +100,25 @@ def read_episodes(spark: SparkSession, root: str, with_stats: bool = False) -> D
     return table if with_stats else table.select(*[c(n) for n in table.columns if not n.startswith("stats/")])
 
 
+def _open_folders(spark: SparkSession, reader: DataFrameReader, paths: Sequence[str]) -> DataFrame:
+    """Load a tree with a folder per file; a few tasks list many folders each, where Spark would start a task per folder."""
+    before = spark.conf.get(LISTING_CONF, None)
+    spark.conf.set(LISTING_CONF, 2 * spark.sparkContext.defaultParallelism)
+    try:
+        return reader.option("recursiveFileLookup", "true").load(list(paths))
+    finally:
+        if before is None:
+            spark.conf.unset(LISTING_CONF)
+        else:
+            spark.conf.set(LISTING_CONF, before)
+
+
 def read_dataset(spark: SparkSession, root: str, episodes: Sequence[int] | None = None) -> EpisodicDataset:
     """Open a dataset lazily; an episode list becomes a predicate on the scan, and on the files where their names allow."""
     info = read_info(spark, root)
     check_version(info)
     table = read_episodes(spark, root)
-    reader = spark.read.option("recursiveFileLookup", "true")
+    reader = spark.read.format("parquet")
     if "frame_schema" in info:
         reader = reader.schema(T.StructType.fromJson(info["frame_schema"]))
     paths = [f"{root}/data"]
@@ -111,8 +127,9 @@ def read_dataset(spark: SparkSession, root: str, episodes: Sequence[int] | None
         if info.get("exact_names", True) and len(episodes) <= SHORT_LIST and "data/chunk_index" in table.columns:
             named = episode_file_paths(table).limit(SHORT_LIST + 1).collect()
             if 0 < len(named) <= SHORT_LIST:
-                paths = [f"{root}/{r['path']}" for r in named]
-    frames = reader.parquet(*paths)
+                # A file that several tasks wrote has numbered ones beside it.
+                paths = [f"{root}/{r['path'].removesuffix('.parquet')}{{.parquet,-*.parquet}}" for r in named]
+    frames = _open_folders(spark, reader, paths)
     if episodes is not None:
         frames = filter_episodes(frames, episodes)
     return EpisodicDataset(frames, table, read_tasks(spark, root), info, read_stats(spark, root), None, read_subtasks(spark, root))
@@ -129,7 +146,7 @@ def episode_file_paths(episodes: DataFrame, video_keys: Sequence[str] = ()) -> D
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """(path relative to the root, bytes) of all files; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    files = _open_folders(spark, spark.read.format("binaryFile").option("pathGlobFilter", pattern), [root])
     base = root.rstrip("/") + "/"
     at = F.locate(base, F.col("path"))
     return files.filter(at > 0).select(F.substr(F.col("path"), at + len(base)).alias("path"), "length")
@@ -166,8 +183,13 @@ def _write_frames(frames: DataFrame, episodes: DataFrame, path: str, mode: str,
     plan = episodes.select(EPISODE, "length", c("data/chunk_index").alias("chunk_index"), c("data/file_index").alias("file_index"))
     extra = [] if "length" in frames.columns else ["length"]
     placed = join_episodes(frames, plan).drop(*extra)
-    # A task gets the rows of one file, or one block of an episode that is larger than that.
-    spread = placed.repartition("chunk_index", "file_index", block_of(c(FRAME), size))
+    # A task gets the rows of whole files, or blocks of an episode that is larger than that. Spark would put small files
+    # together by their bytes, some of its tasks ending long after the others.
+    more_blocks = F.sum(block_of(F.greatest("length", F.lit(1)) - 1, size))
+    held = plan.agg(F.countDistinct("chunk_index", "file_index").alias("files"), F.coalesce(more_blocks, F.lit(0)).alias("blocks")).first()
+    pieces = held["files"] + held["blocks"]
+    tasks = max(1, min(pieces, max(shuffle_partitions(frames), -(-pieces // FILES_PER_TASK))))
+    spread = placed.repartition(tasks, "chunk_index", "file_index", block_of(c(FRAME), size))
     ordered = spread.sortWithinPartitions("chunk_index", "file_index", EPISODE, FRAME)
     writer = ordered.write.mode(mode).option("partitionOverwriteMode", partitions)
     writer.partitionBy("chunk_index", "file_index").parquet(path)
@@ -261,6 +283,8 @@ def append_dataset(
     number = F.lit(first) + c("data/chunk_index") * CHUNK_FILES + c("data/file_index")
     planned = planned.withColumns({"data/chunk_index": F.floor(number / CHUNK_FILES), "data/file_index": number % CHUNK_FILES})
     planned = planned.withColumnRenamed(key, key_column) if key_column else planned.drop(key)
+    set_checkpoint_dir(rows)
+    planned = planned.checkpoint()
     dictionary = [tuple(r) for r in tasks.select("task_index", "task").collect()]
     _write_frames(frames, planned, f"{root}/data", "overwrite", "dynamic")
     schema = ds.tasks.select("task_index", "task").schema
@@ -319,7 +343,7 @@ def publish_names(spark: SparkSession, root: str) -> DataFrame:
 def read_legacy(spark: SparkSession, root: str) -> EpisodicDataset:
     """One Parquet file per episode and JSON-lines metadata; episode statistics become long rows."""
     info = read_info(spark, root)
-    files = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/data")
+    files = _open_folders(spark, spark.read.format("parquet"), [f"{root}/data"])
     named = files.withColumn("_file_episode", path_number(F.col("_metadata.file_path"), "episode_"))
     episodes = spark.read.json(f"{root}/meta/episodes.jsonl")
     tasks = spark.read.json(f"{root}/meta/tasks.jsonl").select(F.col("task_index").cast("long").alias("task_index"), "task")
